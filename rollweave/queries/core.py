@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollweave.queries import records
+from rollweave.queries import matching, names, planning, records, reports
 
-MODULES = (records,)
+MODULES = (records, names, matching, planning, reports)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
