@@ -39,7 +39,7 @@ def label_best_threshold(spark: SparkSession, d: str) -> DataFrame:
 
 def label_deciles(spark: SparkSession, d: str) -> DataFrame:
     """Mean score and acceptance of tenths by score."""
-    return learning.deciles(_labels(spark, d), "accepted", "score").select("bucket", F.round("avg_score", 2).alias("avg_score"), F.round("avg_accepted", 2).alias("avg_accepted"))
+    return learning.deciles(_labels(spark, d), "accepted", "score")
 
 
 def label_calibration(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +223,7 @@ def oracle_sql() -> dict[str, str]:
         "label_confusion": f"WITH {lab}, c AS (SELECT count(*) FILTER (WHERE y AND score >= 0.7) AS tp, count(*) FILTER (WHERE NOT y AND score >= 0.7) AS fp, count(*) FILTER (WHERE y AND score < 0.7) AS fn, count(*) FILTER (WHERE NOT y AND score < 0.7) AS tn FROM lab), q AS (SELECT *, {rates} FROM c) SELECT tp, fp, fn, tn, round(p, 6) AS precision, round(r, 6) AS recall, round({f1}, 6) AS f1, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy FROM q",
         "label_sweep": f"WITH {sweep} SELECT round(th, 6) AS threshold, tp, fp, fn, tn, round(f1, 6) AS f1 FROM z",
         "label_best_threshold": f"WITH {sweep} SELECT round(th, 6) AS threshold, round(f1, 6) AS f1 FROM z ORDER BY z.f1 DESC, th LIMIT 1",
-        "label_deciles": f"WITH {lab}, o AS (SELECT score, y, row_number() OVER (ORDER BY score, y) AS rn, count(*) OVER () AS n FROM lab) SELECT CAST((10 * rn - 1) // n AS INTEGER) AS bucket, round(round(avg(score), 3), 2) AS avg_score, round(round(avg(CASE WHEN y THEN 1.0 ELSE 0 END), 3), 2) AS avg_accepted FROM o GROUP BY 1",
+        "label_deciles": f"WITH {lab}, o AS (SELECT score, y, row_number() OVER (ORDER BY score, y) AS rn, count(*) OVER () AS n FROM lab) SELECT CAST((10 * rn - 1) // n AS INTEGER) AS bucket, round(avg(score), 3) AS avg_score, round(avg(CASE WHEN y THEN 1.0 ELSE 0 END), 3) AS avg_accepted FROM o GROUP BY 1",
         "label_calibration": f"WITH {lab}, s AS (SELECT covar_pop(CASE WHEN y THEN 1.0 ELSE 0 END, score) AS c, var_pop(score) AS v, avg(score) AS x, avg(CASE WHEN y THEN 1.0 ELSE 0 END) AS m FROM lab) SELECT round(CASE WHEN v < 0.0001 THEN 0 ELSE ln(greatest(m, 0.01) / greatest(1 - m, 0.01)) - c / v * x END, 6) AS a, round(CASE WHEN v < 0.0001 THEN 0 ELSE c / v END, 6) AS b FROM s",
         "label_decisions": f"WITH {lab} SELECT human_review_decision AS decision, count(*) AS n FROM lab GROUP BY 1",
         "work_metrics": f"""WITH d AS (SELECT knowledge_source, state, epoch(completed_at) - epoch({ts.format("attempts[1].leased_at")}) AS d FROM work_items), o AS (SELECT knowledge_source, list_sort(list(d) FILTER (WHERE d IS NOT NULL)) AS l FROM d GROUP BY 1)
