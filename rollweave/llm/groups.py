@@ -3,8 +3,9 @@
 Vertices are hashed into B blocks, so edges fall into B x B cells; the edges of a hot vertex spread
 over a whole row of cells. Each cell runs a local union-find and reports every vertex's smallest
 local neighbour in its component (its representative). Representatives of one vertex from its row and
-column are exchanged by a minimum, and where they differ an edge between representatives is left over.
-Those edges form the next, much smaller grid, until none is left; the parents are then composed.
+column are exchanged by a minimum, which is its parent; parents are followed to their roots, and where
+representatives of a vertex have different roots an edge between these is left over. Those edges form
+the next, much smaller grid, until none is left; the parents are then composed.
 """
 
 from __future__ import annotations
@@ -50,13 +51,23 @@ def _exchange(edges: DataFrame, blocks: int) -> DataFrame:
     return edges.select("u", "v", block("u").alias("row"), block("v").alias("column")).groupBy("row", "column").applyInPandas(_cell, "vertex string, rep string")
 
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """``vertex, root`` with every root followed to its end: each jump halves the way, so long chains take few."""
+    while True:
+        up = parents.select(F.col("vertex").alias("root"), F.col("root").alias("up"))
+        jumped = cut(parents.join(up, "root").select("vertex", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")))
+        if not jumped.where("moved").limit(1).count():
+            return jumped.drop("moved")
+        parents = jumped.drop("moved")
+
+
 def connected_groups(edges: DataFrame, left: str, right: str, cell_edges: int = CELL_EDGES) -> DataFrame:
     """``ref, group_ref``: every vertex of an edge and the smallest vertex (string order) it is linked to.
 
     Null and empty ends, and edges from a vertex to itself, link nothing and give no row; repeated
     edges and either direction count once; an empty table gives none. Nothing but the number of edges
-    left reaches the driver. Rounds are few: every round joins whole cells, and the edges left over run
-    between representatives only.
+    left reaches the driver. Every vertex that is not the smallest around it is merged in each round, chains whole, so
+    rounds grow with the logarithm of the largest group; the edges left over run between roots only.
     """
     a, b = F.col(left).cast("string"), F.col(right).cast("string")
     now = cut(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u is not null and v is not null and u <> '' and u <> v").distinct())
@@ -68,9 +79,11 @@ def connected_groups(edges: DataFrame, left: str, right: str, cell_edges: int =
             parents.append(local.select(F.col("vertex").alias("ref"), F.col("rep").alias("group_ref")))
             break
         local = cut(local)
-        best = cut(local.groupBy("vertex").agg(F.min("rep").alias("best")))
-        parents.append(best.select(F.col("vertex").alias("ref"), F.col("best").alias("group_ref")))
-        now = cut(local.join(best, "vertex").where("rep <> best").select(F.col("best").alias("u"), F.col("rep").alias("v")).distinct())
+        root = _roots(cut(local.groupBy("vertex").agg(F.min("rep").alias("root"))))
+        parents.append(root.select(F.col("vertex").alias("ref"), F.col("root").alias("group_ref")))
+        # what is left: links between the roots of a vertex and of its other representatives
+        ends = local.where("rep <> vertex").join(root, "vertex").select("rep", F.col("root").alias("a")).distinct().join(root.select(F.col("vertex").alias("rep"), F.col("root").alias("b")), "rep")
+        now = cut(ends.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
     if not parents:
         return now.select(F.col("u").alias("ref"), F.col("v").alias("group_ref"))
     found = parents[-1]
