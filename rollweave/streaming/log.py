@@ -25,12 +25,12 @@ def once_per_id(stream: DataFrame, key: str, at: str, delay: str = "10 days") ->
 def windowed_counts(stream: DataFrame, at: str, by: list[str], value: str, size: str, slide: str | None = None, delay: str = "1 hour") -> DataFrame:
     """Rows and sum of a value per tumbling, or with ``slide`` sliding, window; late rows within the watermark count."""
     w = F.window(at, size, slide) if slide else F.window(at, size)
-    return stream.withWatermark(at, delay).groupBy(w.alias("w"), *by).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n", "total")
+    return stream.withWatermark(at, delay).groupBy(w.alias("_w"), *by).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")).select(F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), *by, "n", "total")
 
 
 def sessions(stream: DataFrame, at: str, key: str, gap: str, delay: str = "1 hour") -> DataFrame:
     """Sessions of a key: runs of rows with less than ``gap`` between them."""
-    return stream.withWatermark(at, delay).groupBy(F.session_window(at, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+    return stream.withWatermark(at, delay).groupBy(F.session_window(at, gap).alias("_w"), key).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), "n")
 
 
 # fixed values: event -> state; a state of this list takes no more events
