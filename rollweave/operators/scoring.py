@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rollweave.functions import text as T
 from rollweave.functions.phonetic import soundex
@@ -104,11 +105,13 @@ def decision(n: ColumnLike, top: ColumnLike, second: ColumnLike, death: ColumnLi
 
 def decide(scored: DataFrame, key: str, score: str, death: str, policy: Policy = Policy()) -> DataFrame:
     """One decision per key from its scored candidates (null scores are no candidates). Scores are counted before they are shuffled, and no key's candidates are gathered."""
-    score_counts = scored.groupBy(key, F.col(score).alias("_s")).agg(F.count(score).alias("_k"), F.max(death).alias("_d"))
-    top = score_counts.groupBy(key).agg(F.sum("_k").alias("candidates"), F.max(F.struct("_s", "_k")).alias("_t"), F.max("_d").alias("_d"))
-    below = score_counts.join(top.select(key, F.col("_t._s").alias("_m")), key).where("_s < _m").groupBy(key).agg(F.max("_s").alias("_b"))
-    second = F.when(F.col("_t._k") > 1, F.col("_t._s")).otherwise(F.col("_b"))
-    d = top.join(below, key, "left").select(key, "candidates", F.coalesce("_t._s", F.lit(0.0)).alias("top_score"), F.coalesce(second, F.lit(0.0)).alias("second_score"), "_d")
+    counts = scored.groupBy(key, F.col(score).alias("_s")).agg(F.count(score).alias("_k"), F.max(death).alias("_d"))
+    mine = Window.partitionBy(key)
+    ranked = counts.withColumns({"_n": F.row_number().over(mine.orderBy(F.col("_s").desc_nulls_last())), "_all": F.sum("_k").over(mine), "_death": F.max("_d").over(mine)})
+    place = lambda i, c: F.max(F.when(F.col("_n") == i, F.col(c)))
+    two = ranked.where("_n <= 2").groupBy(key).agg(F.max("_all").alias("candidates"), place(1, "_s").alias("_a"), place(1, "_k").alias("_ak"), place(2, "_s").alias("_b"), F.max("_death").alias("_d"))
+    second = F.when(F.col("_ak") > 1, F.col("_a")).otherwise(F.col("_b"))
+    d = two.select(key, "candidates", F.coalesce("_a", F.lit(0.0)).alias("top_score"), F.coalesce(second, F.lit(0.0)).alias("second_score"), "_d")
     return d.withColumn("d", decision("candidates", "top_score", "second_score", "_d", policy=policy)).select(key, "candidates", "top_score", "second_score", "d.status", "d.gap", "d.threshold")
 
 
