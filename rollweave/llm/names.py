@@ -83,9 +83,9 @@ def candidate_pairs(features: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def weighed_pairs(features: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``id_a, id_b, score, bits``: the pairs that nothing contradicts, with their evidence in bits."""
+    """``id_a, id_b, score``: the pairs that nothing contradicts, with their evidence beyond chance in bits."""
     joined = pairs.join(features.alias("a"), F.col("id_a") == F.col("a.id")).join(features.alias("b"), F.col("id_b") == F.col("b.id"))
-    return joined.select("id_a", "id_b", evidence(F.col("distance")).alias("score"), F.col("a.bits").alias("bits")).where("score is not null").groupBy("id_a", "id_b").agg(F.max("score").alias("score"), F.max("bits").alias("bits"))
+    return joined.select("id_a", "id_b", evidence(F.col("distance")).alias("score")).where("score is not null").groupBy("id_a", "id_b").agg(F.max("score").alias("score"))
 
 
 def close_groups(features: DataFrame, linked: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -101,10 +101,10 @@ def close_groups(features: DataFrame, linked: DataFrame, radius: int = RADIUS) -
 def link_names(features: DataFrame, margin: float = 6.0, radius: int = RADIUS) -> DataFrame:
     """``id_a, id_b``: all pairs ``id_a < id_b`` of different ids whose rows name the same person.
 
-    A pair is linked if its evidence exceeds what chance gives among so many rows by ``margin`` bits. Links
+    A pair is linked if its evidence exceeds what chance gives among the rows of its name by ``margin`` bits. Links
     are closed to groups, and of a group every pair that no attribute contradicts is given.
     ``features``: see ``person_features``. Several rows of one id may differ; each is compared.
     """
     f = cut(with_rarity(cut(features)))  # read once: three counts hang on it
-    linked = cut(weighed_pairs(f, candidate_pairs(f, radius)).where(F.col("score") >= F.col("bits") + margin).select("id_a", "id_b"))
+    linked = cut(weighed_pairs(f, candidate_pairs(f, radius)).where(F.col("score") >= margin).select("id_a", "id_b"))
     return close_groups(f, linked, radius)
