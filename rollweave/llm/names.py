@@ -53,11 +53,19 @@ def radius_pairs(rows: DataFrame, band: str, key: str, name: str, radius: int =
 
 
 def banded(features: DataFrame) -> DataFrame:
-    """The bands of each row: two rows about one person share at least one, unless they share hardly any attribute."""
+    """The bands of each row: two rows about one person share at least one, unless they share hardly any attribute.
+
+    Rows with the same surname meet by it. Rows with another spelling meet by a year and an unchanged start or end of the
+    surname, or, wherever it changed, by both years, by a year and both initials, or by a unit. First and middle initials
+    count alike; a row without a given name is in the bands of all initials.
+    """
     span = lambda x: F.when(F.col(x).isNull(), F.array().cast("array<int>")).otherwise(F.array_distinct(F.array(F.floor((F.col(x) - 1) / 3).cast("int"), F.floor((F.col(x) + 1) / 3).cast("int"))))
     ends = F.array(F.concat(F.lit("<"), F.substring("surname", 1, 2)), F.concat(F.lit(">"), F.expr("right(surname, 2)")))
     letters = lambda x: F.filter(F.split(x, ""), lambda g: g != "")
-    first, initials = letters("gi"), F.array_distinct(F.concat(letters("gi"), letters("mi")))
+    first, middle = letters("gi"), letters("mi")
+    every = F.array(*[F.lit(x) for x in "abcdefghijklmnopqrstuvwxyz"])
+    initials = F.when(F.size(first) == 0, every).otherwise(F.array_distinct(F.concat(first, middle)))
+    both = F.flatten(F.transform(first, lambda g: F.transform(middle, lambda m: F.concat(F.least(g, m), F.greatest(g, m)))))
     nothing = F.array().cast("array<string>")
 
     def cross(tag: str, *parts: Column) -> Column:
@@ -68,12 +76,14 @@ def banded(features: DataFrame) -> DataFrame:
 
     bands = F.concat(
         cross("u", F.col("units"), initials),
-        cross("cb", F.col("companies"), span("birth"), first, ends),
-        cross("cd", F.col("companies"), span("death"), first, ends),
-        cross("bd", span("birth"), span("death"), first, ends),
-        cross("b", span("birth"), first, F.array("mi"), F.array(F.element_at(ends, 1))),
+        cross("s", F.array("surname"), initials),
+        cross("b", span("birth"), initials, ends),
+        cross("d", span("death"), initials, ends),
+        cross("bd", span("birth"), span("death"), initials),
+        cross("bm", span("birth"), both),
+        cross("dm", span("death"), both),
     )
-    return features.select("id", "kind", "surname", "birth", "death", F.explode(F.transform(F.array_distinct(bands), lambda b: F.xxhash64(b))).alias("band"))
+    return features.select("id", "surname", "birth", "death", F.explode(F.transform(F.array_distinct(bands), lambda b: F.xxhash64(b))).alias("band"))
 
 
 def candidate_pairs(features: DataFrame, radius: int = RADIUS) -> DataFrame:
