@@ -183,16 +183,10 @@ NEAR = (1 / 2700, 1 / 900, 1 / 240)
 YEARS = (5.3, 2.3, -2.0)
 
 
-def evidence(distance: Column) -> Column:
-    """Bits beyond chance for the pair of rows ``a`` and ``b`` being one person; null if an attribute contradicts it.
-
-    Chance are the rows expected in the pair's own name block: those with the surname and, if the surnames differ, those
-    as near to it. ``distance``: edit distance of the surnames. Years may differ by two.
-    """
+def agreement() -> Column:
+    """Bits of what the rows ``a`` and ``b`` agree in besides the surname; null if an attribute contradicts it. Years may differ by two."""
     c = lambda x: F.col(x)
     no = F.lit(None).cast("double")
-    share = F.when(distance == 0, 0.0).when(distance == 1, NEAR[0]).when(distance == 2, NEAR[1]).otherwise(NEAR[2])
-    chance = F.log2(F.greatest(c("a.block"), c("b.block")) + c("a.total") * share)
 
     def part(x: str, y: str, full: float, initial: float) -> Column:
         """Bits of two name parts, each a list of names it can stand for, or an initial; null if they differ."""
@@ -216,7 +210,17 @@ def evidence(distance: Column) -> Column:
     def sets(x: str, worth: float) -> Column:
         return F.when((F.size(c(f"a.{x}")) == 0) | (F.size(c(f"b.{x}")) == 0), 0.0).when(F.arrays_overlap(c(f"a.{x}"), c(f"b.{x}")), worth).otherwise(no)
 
-    return names + years("birth") + years("death") + sets("units", 7.0) + sets("companies", 3.0) - chance
+    return names + years("birth") + years("death") + sets("units", 7.0) + sets("companies", 3.0)
+
+
+def evidence(distance: Column) -> Column:
+    """Bits beyond chance for the pair of rows ``a`` and ``b`` being one person; null if an attribute contradicts it.
+
+    Chance are the rows expected in the pair's own name block: those with the surname and, if the surnames differ, those
+    as near to it. ``distance``: edit distance of the surnames.
+    """
+    share = F.when(distance == 0, 0.0).when(distance == 1, NEAR[0]).when(distance == 2, NEAR[1]).otherwise(NEAR[2])
+    return agreement() - F.log2(F.greatest("a.block", "b.block") + F.col("a.total") * share)
 
 
 def results_people(results: DataFrame) -> DataFrame:
