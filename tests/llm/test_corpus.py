@@ -2,8 +2,12 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from rollweave.llm.leakage import leaked, without_leaks
-from rollweave.llm.spam import ClassModel, page_score, segments, stuffed_pages
+from rollweave.llm import spam
+from rollweave.llm.spam import NAME, WORD, segments, stuffed_pages
 
 WORDS = [f"{a}{b}" for a in ("bri", "cal", "dor", "fen", "gal", "hul", "mer", "nor", "pel", "tam") for b in ("ander", "ton", "ley", "wick", "ing", "ora", "est", "ulm", "ock", "ave")]
 
@@ -53,10 +57,18 @@ def test_pages(spark):
     df = spark.createDataFrame([(i, t, 1.0) for i, t in rows], "doc_id long, text string, share double").drop("share")
     got = {r["doc_id"] for r in stuffed_pages(df, "doc_id", "text").collect()}
     assert got == set(range(len(good), len(good) + len(bad)))
-    assert stuffed_pages(df.limit(0), "doc_id", "text").collect() == []
-    assert page_score(ClassModel([]), None) == 0.0 and segments("") == []
+    assert stuffed_pages(df.limit(0), "doc_id", "text").collect() == [] and segments("") == []
+    # the model decides: with a constant in its place nothing is found
+    class Flat:
+        bits = staticmethod(lambda s: np.full(len(s.lengths), 5.0))
+
+    texts = [t for _, t in rows]
+    s = spam._decode(spam._encode(pa.array(range(len(texts))), texts))
+    assert spam.page_shares(Flat(), s, (5.0, 0.0), len(texts)).max() == 0.0
 
 
 def test_refrains_are_no_keywords():
     poem = "\n".join(f"He {w} the stone,\nO handsome gin, O careful road." for w in WORDS[:8])
-    assert all(again == 0 for *_, again in segments(poem))
+    assert all(c < WORD or (c - WORD) % (NAME - WORD) < 2 for part, _ in segments(poem) for c in part)
+    keys = ", ".join(["grave finder", "pension records"] * 9)
+    assert all(c < WORD or (c - WORD) % (NAME - WORD) == 5 for part, _ in segments(keys) for c in part)
