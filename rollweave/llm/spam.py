@@ -60,38 +60,35 @@ BEFORE = np.array([OTHER if ARROW < c < WORD else c if c < WORD else WORD if c <
 class _Pair:
     """How a page repeats a pair of neighbouring content words."""
 
-    __slots__ = ("n", "bare", "around", "within")
+    __slots__ = ("after", "bare", "n", "within")
 
     def __init__(self) -> None:
         self.n = self.bare = 0
-        self.around: set[tuple] = set()
+        self.after: set[int] = set()
         self.within: set[int] = set()
 
-    def close(self, before: int | None, after: int | None, piece: int) -> None:
+    def close(self, after: int | None, piece: int) -> None:
         self.n += 1
         self.within.add(piece)
-        if before is None and after is None:
+        if after is None:
             self.bare += 1
         else:
-            self.around.add((before, after))
+            self.after.add(after)
 
     def times(self) -> int:
-        """Repetitions that count: all if there is mostly no function word beside the pair, else those in other surroundings or sentences."""
-        return self.n if 2 * self.bare >= self.n else max(len(self.around), len(self.within))
+        """Repetitions that count: all if mostly no function word follows the pair, else those before other function words or in other sentences."""
+        return self.n if 2 * self.bare >= self.n else max(len(self.after), len(self.within))
 
 
 def segments(text: str) -> list[tuple[list[int], float]]:
-    """The page's segments: the classes of their tokens, and their characters.
-
-    A sentence or refrain that a page repeats as a whole is no repetition of the pairs of words in it.
-    """
+    """The page's segments: the classes of their tokens, and their characters."""
     seen: Counter = Counter()
     pairs: dict[tuple[str, str], _Pair] = {}
     pieces: list[tuple[list, int]] = []
     total = listing = 0
     for piece in END.split(text):
         out: list = []
-        last = before = start = pair = None  # content word, function word before, that before the open pair, open pair
+        last = pair = None  # content word before, and the pair that it ends
         key = hash(piece)
         for m in TOKEN.finditer(piece):
             kind, token = m.lastgroup, m[0]
@@ -99,11 +96,11 @@ def segments(text: str) -> list[tuple[list[int], float]]:
                 low = token.lower()
                 code = FUNCTION.get(low)
                 if pair is not None:
-                    pair.close(start, code, key)
+                    pair.close(code, key)
                     pair = None
                 if code is not None:
                     out.append(code)
-                    last, before = None, code
+                    last = None
                     continue
                 seen[low] += 1
                 if last is not None:
@@ -111,19 +108,18 @@ def segments(text: str) -> list[tuple[list[int], float]]:
                     if pair is None:
                         pair = pairs[last, low] = _Pair()
                 out.append((last, low, NAME if token[0].isupper() else WORD))
-                start = before if last is None else None
-                last, before = low, None
+                last = low
             elif kind == "mark" and token in "-'’":
                 out.append(MARKS.get(token, OTHER))
             elif kind != "skip":
                 if pair is not None:
-                    pair.close(start, None, key)
+                    pair.close(None, key)
                     pair = None
-                last = before = None
+                last = None
                 out.append(MARKS.get(token, OTHER) if kind == "mark" else SIGN[kind])
                 listing += out[-1] in MANY
         if pair is not None:
-            pair.close(start, None, key)
+            pair.close(None, key)
         total += len(out)
         pieces.append((out, len(piece)))
     times = {p: x.times() for p, x in pairs.items() if x.n > 1}

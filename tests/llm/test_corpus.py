@@ -51,9 +51,10 @@ def test_pages(spark):
     links = lambda n: "\n".join(f"* [{rng.choice(WORDS)} {rng.choice(WORDS)}](https://{rng.choice(WORDS)}.example/{rng.randrange(999)})" for _ in range(n))
     tags = lambda n: " ".join(f"#{rng.choice(WORDS)}{rng.randrange(9)}" for _ in range(n))
     prices = lambda n: "\n".join(f"{rng.choice(WORDS)} {rng.choice(WORDS)} ${rng.randrange(90)}.{10 + rng.randrange(89)}" for _ in range(n))
-    good = [prose(rng.randrange(3, 12)) for _ in range(120)] + [prose(2) + "\n" + roll(15) for _ in range(12)] + [prose(1) + "\n" + names(40) for _ in range(12)] + [prose(8) + "\n" + keys(8), prose(6) + " #tag https://a.example/1"]
+    poem = lambda: "".join(f"\nThe {rng.choice(WORDS)} {rng.choice(WORDS)} a {rng.choice(WORDS)} by the {rng.choice(WORDS)},\n{refrain}" for refrain in [f"O {rng.choice(WORDS)} gin, O {rng.choice(WORDS)} road."] for _ in range(8))
+    good = [poem() for _ in range(12)] + [prose(rng.randrange(3, 12)) for _ in range(120)] + [prose(2) + "\n" + roll(15) for _ in range(12)] + [prose(1) + "\n" + names(40) for _ in range(12)] + [prose(8) + "\n" + keys(8), prose(6) + " #tag https://a.example/1"]
     bad = [f(40) for f in (keys, links, tags, prices) for _ in range(3)] + [prose(1) + "\n" + keys(60), links(30) + "\n" + prose(1)]
-    rows = list(enumerate(good + bad)) + [(900, None), (901, ""), (902, " \n "), (903, "?"), (904, "a" * 200_000), (120, good[120])]
+    rows = list(enumerate(good + bad)) + [(900, None), (901, ""), (902, " \n "), (903, "?"), (904, "a" * 200_000), (132, good[132])]
     df = spark.createDataFrame([(i, t, 1.0) for i, t in rows], "doc_id long, text string, share double").drop("share")
     got = {r["doc_id"] for r in stuffed_pages(df, "doc_id", "text").collect()}
     assert got == set(range(len(good), len(good) + len(bad)))
@@ -67,8 +68,8 @@ def test_pages(spark):
     assert spam.page_shares(Flat(), s, (5.0, 0.0), len(texts)).max() == 0.0
 
 
-def test_refrains_are_no_keywords():
-    poem = "\n".join(f"He {w} the stone,\nO handsome gin, O careful road." for w in WORDS[:8])
-    assert all(c < WORD or (c - WORD) % (NAME - WORD) < 2 for part, _ in segments(poem) for c in part)
+def test_classes():
     keys = ", ".join(["grave finder", "pension records"] * 9)
     assert all(c < WORD or (c - WORD) % (NAME - WORD) == 5 for part, _ in segments(keys) for c in part)
+    once = "He saw the handsome stone, and the gin by the careful road was sold to Harlan."
+    assert all(c < WORD or (c - WORD) % (NAME - WORD) == 0 for part, _ in segments(once) for c in part)
