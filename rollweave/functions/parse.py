@@ -13,7 +13,20 @@ from rollweave.functions import text as T
 from rollweave.functions.text import ColumnLike
 
 # fixed values: interface phrases that are no data, in the order of removal
-INTERFACE_PHRASES = ["Flowers have been left.", "Flowers have been left", "Leave a flower", "Leave flowers", "Sponsored by", "Added by", "Created by", "Virtual Cemetery", "drag images here", "Photo added by", "ADVERTISEMENT"]
+INTERFACE_PHRASES = [
+    "Flowers have been left.",
+    "Flowers have been left",
+    "Leave a flower",
+    "Leave flowers",
+    "Sponsored by",
+    "Added by",
+    "Created by",
+    "Find a Grave",
+    "Virtual Cemetery",
+    "drag images here",
+    "Photo added by",
+    "ADVERTISEMENT",
+]
 # fixed values: words in a card that say that someone was a veteran
 VETERAN_WORDS = "VETERAN|CSA|C\\.S\\.A\\.|Civil War|Confederate|United States Army"
 # fixed values: endings of burial place names
@@ -29,11 +42,11 @@ def parse_card(card: ColumnLike) -> Column:
     birth = F.when(ranged, F.regexp_extract(c, span, 1)).otherwise(single(r"(\d{4})\s*[–-]"))
     death = F.when(ranged, F.regexp_extract(c, span, 2)).otherwise(single(r"[–-]\s*(?:\d{1,2}\s+\w+\s+)?(\d{4})"))
     tokens = F.reverse(F.split(c, r",\s*"))
-    names = F.create_map(*[F.lit(x) for k, v in (p.split("=") for p in T.STATE_NAMES.split(";")) for x in (k.lower(), v)])
+    names = F.create_map(*[F.lit(x) for k, v in T.STATE_NAMES.items() for x in (k.lower(), v)])
     of = lambda t: F.coalesce(F.try_element_at(names, F.lower(F.regexp_replace(F.trim(t), r"\.$", ""))), F.when(F.trim(t).rlike("^[A-Z]{2}$"), F.trim(t)))
     by_comma = F.try_element_at(F.array_compact(F.transform(tokens, of)), F.lit(1))
     place = lambda n: F.length(c) - F.locate(n[::-1], F.reverse(F.lower(c))) - len(n) + 1
-    spots = F.array(*[F.struct(F.when(F.locate(k.lower()[::-1], F.reverse(F.lower(c))) > 0, place(k.lower())).otherwise(-1).alias("at"), F.lit(-i).alias("i"), F.lit(v).alias("s")) for i, (k, v) in enumerate(p.split("=") for p in T.STATE_NAMES.split(";"))])
+    spots = F.array(*[F.struct(F.when(F.locate(k.lower()[::-1], F.reverse(F.lower(c))) > 0, place(k.lower())).otherwise(-1).alias("at"), F.lit(-i).alias("i"), F.lit(v).alias("s")) for i, (k, v) in enumerate(T.STATE_NAMES.items())])
     last = F.array_max(spots)
     code = F.nullif(F.regexp_extract(c, r"\b([A-Z]{2})\b", 1), F.lit(""))
     cemetery = F.nullif(F.trim(F.regexp_extract(c, r"([A-Z][A-Za-z\.\s]+?(?:" + PLACES + r"))\s*[,\n]", 1)), F.lit(""))

@@ -185,8 +185,8 @@ def _copies_sql() -> str:
 
 def _score_sql() -> str:
     up = "upper(regexp_replace(coalesce(regiment, ''), '\\bCo\\.', 'Co', 'g'))"
-    named = "CASE " + " ".join(f"WHEN contains({up}, '{k}') THEN '{v}'" for k, v in (p.split("=") for p in T.STATE_NAMES.split(";"))) + " ELSE '' END"
-    state = f"coalesce(list_extract(list_filter(regexp_extract_all({up}, '\\b({T.STATE_CODES.replace(' ', '|')})\\b'), lambda x: x <> 'CO'), 1), {named})"
+    named = "CASE " + " ".join(f"WHEN contains({up}, '{k}') THEN '{v}'" for k, v in T.STATE_NAMES.items()) + " ELSE '' END"
+    state = f"coalesce(list_extract(list_filter(regexp_extract_all({up}, '\\b({'|'.join(T.STATE_CODES)})\\b'), lambda x: x <> 'CO'), 1), {named})"
     return f"""{_copies_sql()},
 s0 AS (SELECT pensioner_id, place, c.id AS vet_id, pensioner_death_year AS death_year, pensioner_first, pensioner_middle, pensioner_last, {state} AS st, upper(coalesce(c.state, '')) AS cs, split_part(lower(regexp_replace(trim(coalesce(c.name, '')), '\\s+', '-', 'g')), '/', 1) AS slug,
   try_cast(regexp_extract(coalesce(c.born, ''), '(\\d{{4}})', 1) AS INTEGER) AS b, try_cast(regexp_extract(coalesce(c.died, ''), '(\\d{{4}})', 1) AS INTEGER) AS dd, try_cast(trim(coalesce(pensioner_death_year, '')) AS INTEGER) AS ld FROM cop),

@@ -87,7 +87,7 @@ def memorial_pages(spark: SparkSession, d: str) -> DataFrame:
 
 def payload_fields(spark: SparkSession, d: str) -> DataFrame:
     """Fields of an event payload as a map, and the search strategy in it."""
-    o = table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", "payload").distinct()
+    o = table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", T.unwrapped_json("payload").alias("payload")).distinct()
     return o.select("observation_id", F.get_json_object("payload", "$.query.strategy").alias("strategy"), F.get_json_object("payload", "$.query.params.locationId").alias("location")).where("strategy is not null").distinct()
 
 
@@ -117,10 +117,10 @@ def soundex_sql(x: str) -> str:
 def oracle_sql() -> dict[str, str]:
     w = "list_filter(regexp_split_to_array(trim(name), '\\s+'), lambda x: x <> '')"
     part = lambda i: f"coalesce(list_extract(w, {i}), '')"
-    origin = "CASE " + " ".join(f"WHEN contains(lower(coalesce(regiment, '')), '{k}') THEN '{v}'" for k, v in (p.split("=") for p in T.ORIGIN_STATES.split(";"))) + " END"
+    origin = "CASE " + " ".join(f"WHEN contains(lower(coalesce(regiment, '')), '{k}') THEN '{v}'" for k, v in T.ORIGIN_STATES.items()) + " END"
     up = "upper(regexp_replace(coalesce(regiment, ''), '\\bCo\\.', 'Co', 'g'))"
-    named = "CASE " + " ".join(f"WHEN contains({up}, '{k}') THEN '{v}'" for k, v in (p.split("=") for p in T.STATE_NAMES.split(";"))) + " ELSE '' END"
-    codes = f"list_filter(regexp_extract_all({up}, '\\b({T.STATE_CODES.replace(' ', '|')})\\b'), lambda x: x <> 'CO')"
+    named = "CASE " + " ".join(f"WHEN contains({up}, '{k}') THEN '{v}'" for k, v in T.STATE_NAMES.items()) + " ELSE '' END"
+    codes = f"list_filter(regexp_extract_all({up}, '\\b({'|'.join(T.STATE_CODES)})\\b'), lambda x: x <> 'CO')"
     sx_b = f"CASE WHEN n = '' THEN '' ELSE substr(rpad(upper(substr(n, 1, 1)) || replace(substr({_runs(f"translate(n, '{phonetic.LETTERS}', '{phonetic.DIGITS}')")}, 2), '0', ''), 4, '0'), 1, 4) END"
     sx_c = f"CASE WHEN n = '' THEN '' ELSE substr(rpad(upper(substr(n, 1, 1)) || {_runs(f"replace(translate(substr(n, 2), '{phonetic.LETTERS}', '{phonetic.DIGITS}'), '0', '')")}, 4, '0'), 1, 4) END"
     spouse = "regexp_replace(lower(regexp_replace(trim(coalesce(pensioner_last, '')), '\\.+$', '')), '\\s+', ' ', 'g')"

@@ -101,7 +101,7 @@ def oracle_sql() -> dict[str, str]:
     whole = lambda y: f"CASE WHEN regexp_full_match({y}, '[0-9]+') THEN CAST({y} AS INTEGER) END"
     tmpl = "CASE WHEN f <> '' AND l <> '' THEN " + "array_to_string(list_filter(['exactspelling=true', 'firstname=' || f, 'lastname=' || l, CASE WHEN m <> '' THEN 'middlename=' || m END], lambda x: x IS NOT NULL), '&') END"
     tmpl2 = "array_to_string(list_filter(['begin=' || substr(l, 1, 3), 'lastname=' || upper(l), CASE WHEN u <> '' THEN 'unit=' || u END, 'window=5'], lambda x: x IS NOT NULL), '&')"
-    origin = "CASE " + " ".join(f"WHEN contains(lower(u), '{k}') THEN '{v}'" for k, v in (x.split("=") for x in T.ORIGIN_STATES.split(";"))) + " END"
+    origin = "CASE " + " ".join(f"WHEN contains(lower(u), '{k}') THEN '{v}'" for k, v in T.ORIGIN_STATES.items()) + " END"
     texas = " OR ".join(f"contains(lower(u), '{h}')" for h in regional.TEXAS_HINTS)
     plans = f"""{per}, o AS (SELECT *, {origin} AS org FROM p WHERE l <> ''),
         plan AS (SELECT pensioner_id, u, 'B1-exact' AS strategy, 'OK' AS scope, 'OK' AS state, 0 AS k FROM o UNION ALL SELECT pensioner_id, u, 'B1-exact', 'RegimentOrigin', org, 1 FROM o WHERE org IS NOT NULL AND org <> 'OK'
@@ -112,7 +112,7 @@ def oracle_sql() -> dict[str, str]:
           CROSS JOIN LATERAL (SELECT q.strategy AS strategy, CASE WHEN q.state = '*' THEN org ELSE q.state END AS state, q.k AS k) WHERE CASE WHEN weak THEN q.w IN (1, 3) ELSE s < 0.85 AND q.w IN (2, 3) END AND (q.state <> '*' OR (org IS NOT NULL AND org <> 'OK'))),
         placed AS (SELECT *, row_number() OVER (PARTITION BY pensioner_id ORDER BY k) AS n FROM x)"""
     points = "CASE " + " ".join(f"WHEN s <= {x1} THEN " + (f"{y1}" if i == 0 else f"{p0[1]} + (s - {p0[0]}) / ({x1} - {p0[0]}) * ({y1} - {p0[1]})") for i, ((x1, y1), p0) in enumerate(zip(regional.MATCH_POINTS, [regional.MATCH_POINTS[0], *regional.MATCH_POINTS]))) + f" ELSE {regional.MATCH_POINTS[-1][1]} END"
-    like = [(k, v.split(",")[0].split(":")) for k, v in (e.split("=") for e in regional.STATE_PRIORS.split(";"))]
+    like = [(k, next(iter(v.items()))) for k, v in regional.STATE_PRIORS.items()]
     notice = lambda k, kw, a, b: f"SELECT pensioner_id, '{k}' AS strategy, " + pairs(("date-end", b), ("date-start", a), ("entity-types", f"'{ladder.ENTITY_TYPES}'"), ("keyword", kw), ("sort", "'score-desc'")) + " AS params FROM "
     return {
         "ladder_all": f"""WITH {per} SELECT pensioner_id, strategy, params FROM (
@@ -143,5 +143,5 @@ def oracle_sql() -> dict[str, str]:
 
 def _state_sql() -> str:
     up = "upper(regexp_replace(u, '\\bCo\\.', 'Co', 'g'))"
-    named = "CASE " + " ".join(f"WHEN contains({up}, '{k}') THEN '{v}'" for k, v in (p.split("=") for p in T.STATE_NAMES.split(";"))) + " ELSE '' END"
-    return f"coalesce(list_extract(list_filter(regexp_extract_all({up}, '\\b({T.STATE_CODES.replace(' ', '|')})\\b'), lambda x: x <> 'CO'), 1), {named})"
+    named = "CASE " + " ".join(f"WHEN contains({up}, '{k}') THEN '{v}'" for k, v in T.STATE_NAMES.items()) + " ELSE '' END"
+    return f"coalesce(list_extract(list_filter(regexp_extract_all({up}, '\\b({'|'.join(T.STATE_CODES)})\\b'), lambda x: x <> 'CO'), 1), {named})"

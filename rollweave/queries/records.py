@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollweave.operators.nested import plan_layout, schema_graph, shred, shred_array
+from rollweave.operators.nested import Layout, element_table, plan_layout, schema_graph, shred, struct_tables
 from rollweave.operators.references import Reference, Target, number_key, orphan_report, orphans, slug_key
 from rollweave.session import table
 
@@ -40,14 +40,35 @@ def _fetches(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", "payload")
 
 
+def _layout(spark: SparkSession, d: str) -> Layout:
+    graph = [(r["parent"], r["child"], r["kind"], r["repeated"]) for r in schema_graph(_fetches(spark, d), "payload").collect()]
+    return plan_layout(graph, SPELLING, implied=(("pages", "candidates"),))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Candidates, family members and registry copies as flat rows with their place."""
-    graph = [(r["parent"], r["child"], r["repeated"]) for r in schema_graph(_fetches(spark, d), "payload").collect()]
-    layout = plan_layout(graph, SPELLING, implied=(("pages", "candidates"),))
-    people = shred(_fetches(spark, d), "observation_id", "payload", layout, "memorial_id", keep_fields=False).where("element in ('candidates', 'family') and child_id <> ''")
-    copies = shred_array(table(spark, d, "results"), "pensioner_id", "cgr_records", "id")
+    people = shred(_fetches(spark, d), "observation_id", "payload", _layout(spark, d), "memorial_id", keep_fields=False)
+    people = people.where("element in ('candidates', 'family') and child_id <> ''")
+    copies = struct_tables(table(spark, d, "results"), "pensioner_id", "cgr_records")["cgr_records"].where("id is not null")
     flat = people.select(F.lit("observations").alias("parent_table"), "parent_id", "path", "child_id")
-    return flat.unionByName(copies.select(F.lit("results").alias("parent_table"), "parent_id", "path", "child_id")).distinct()
+    return flat.unionByName(copies.select(F.lit("results").alias("parent_table"), "parent_id", "path", F.col("id").cast("string").alias("child_id"))).distinct()
+
+
+def p4_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The table of candidates: their page, and all that is inlined into them."""
+    layout = _layout(spark, d)
+    return element_table(shred(_fetches(spark, d), "observation_id", "payload", layout, "memorial_id"), layout, "candidates").distinct()
+
+
+def p4_family(spark: SparkSession, d: str) -> DataFrame:
+    """The table of family members of any depth, with the path of the candidate or member they belong to."""
+    layout = _layout(spark, d)
+    return element_table(shred(_fetches(spark, d), "observation_id", "payload", layout, "memorial_id"), layout, "family").distinct()
+
+
+def p4_copies(spark: SparkSession, d: str) -> DataFrame:
+    """The table of registry copies, with the record they belong to."""
+    return struct_tables(table(spark, d, "results"), "pensioner_id", "cgr_records")["cgr_records"].distinct()
 
 
 def p4_schema(spark: SparkSession, d: str) -> DataFrame:
@@ -56,7 +77,7 @@ def p4_schema(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_report, p4_found, p4_schema)}
+    return {f.__name__: f for f in (p3_found, p3_report, p4_found, p4_candidates, p4_family, p4_copies, p4_schema)}
 
 
 _ORPHANS = r"""
@@ -79,7 +100,9 @@ found AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    kept = "id, name, unit, born, first_name, middle_name, last_name, source, company, died, spouse, cemetery_id, cemetery_name, county, state, vet_fetched_at"
     return {
+        "p4_copies": f"SELECT DISTINCT CAST(pensioner_id AS VARCHAR) AS parent_id, CAST(i - 1 AS VARCHAR) AS path, '' AS parent_path, {', '.join('c.' + x.strip() for x in kept.split(','))} FROM (SELECT pensioner_id, unnest(cgr_records) AS c, generate_subscripts(cgr_records, 1) AS i FROM results) WHERE c IS NOT NULL",
         "p3_found": _ORPHANS + "SELECT DISTINCT * FROM found",
         "p3_report": _ORPHANS + "SELECT ref_table, ref_field, period, count(*) AS orphans FROM (SELECT DISTINCT * FROM found) GROUP BY ALL",
     }

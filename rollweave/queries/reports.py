@@ -74,21 +74,32 @@ def work_claimable(spark: SparkSession, d: str) -> DataFrame:
 STRATEGY = r'"strategy":\s*"([^"]+)"'  # the first strategy named, in damaged payloads too
 
 
+CANDIDATE = '"via_strategies"'  # a field that each candidate has once
+
+
+def _fetches(spark: SparkSession, d: str) -> DataFrame:
+    """Run, strategy, record and candidates of each fetch, whole and damaged payloads alike."""
+    rows = table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", "recorded_at", "pensioner_id", "run_id", "payload")
+    once = state.first_per_id(rows, "observation_id", ["recorded_at"]).withColumn("payload", T.unwrapped_json("payload"))
+    fetched = once.select("run_id", F.regexp_extract("payload", STRATEGY, 1).alias("strategy"), "pensioner_id", F.regexp_count("payload", F.lit(CANDIDATE)).alias("candidates"))
+    return fetched.where("strategy <> ''")
+
+
+def _strategy_stats(spark: SparkSession, d: str) -> DataFrame:
+    accepted = table(spark, d, "results").where("status = 'auto_accept'").select("pensioner_id")
+    return analytics.strategy_stats(_fetches(spark, d), "run_id", "strategy", "pensioner_id", "candidates", accepted)
+
+
 def strategy_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Per run and strategy: fires, records touched and accepted."""
-    o = state.first_per_id(table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", "recorded_at", "pensioner_id", "run_id", "payload"), "observation_id", ["recorded_at"])
-    f = o.select("run_id", F.regexp_extract("payload", STRATEGY, 1).alias("strategy"), "pensioner_id", F.lit(1).alias("k")).where("strategy <> ''")
-    ok = table(spark, d, "results").where("status = 'auto_accept'").select("pensioner_id")
-    s = analytics.strategy_stats(f, "run_id", "strategy", "pensioner_id", "k", ok)
-    return s.select("run_id", "strategy", "fires", "touched", "accepted", F.round("success_rate", 6).alias("success_rate"))
+    """Per run and strategy: fires, candidates, records touched and accepted."""
+    s = _strategy_stats(spark, d)
+    return s.select("run_id", "strategy", "fires", "candidates", F.round("avg_candidates", 6).alias("avg_candidates"), "touched", "accepted", F.round("success_rate", 6).alias("success_rate"))
 
 
 def strategy_overall(spark: SparkSession, d: str) -> DataFrame:
     """Strategies over all runs: counts summed, rates averaged."""
-    o = state.first_per_id(table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", "recorded_at", "pensioner_id", "run_id", "payload"), "observation_id", ["recorded_at"])
-    f = o.select("run_id", F.regexp_extract("payload", STRATEGY, 1).alias("strategy"), "pensioner_id", F.lit(1).alias("k")).where("strategy <> ''")
-    a = analytics.across_runs(analytics.strategy_stats(f, "run_id", "strategy", "pensioner_id", "k", table(spark, d, "results").where("status = 'auto_accept'").select("pensioner_id")), "strategy")
-    return a.select("strategy", "runs", "fires", "touched", "accepted", F.round("mean_success_rate", 6).alias("mean_success_rate"))
+    a = analytics.across_runs(_strategy_stats(spark, d), "strategy")
+    return a.select("strategy", "runs", "fires", "candidates", "touched", "accepted", F.round("mean_success_rate", 6).alias("mean_success_rate"))
 
 
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -195,6 +206,11 @@ def nested_registry(spark: SparkSession, d: str) -> DataFrame:
     return n.select("cemetery_id", "cemetery_name", F.size("veterans").alias("n"), F.array_join(F.transform("veterans", lambda x: x["id"].cast("string")), ",").alias("ids"))
 
 
+def unwrapped_sql(x: str) -> str:
+    """SQL of ``text.unwrapped_json``."""
+    return f"CASE WHEN ltrim({x}) LIKE '\"%' THEN coalesce(json_extract_string(try_cast({x} AS JSON), '$'), {x}) ELSE {x} END"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -213,8 +229,8 @@ def oracle_sql() -> dict[str, str]:
     sweep = f"""{lab}, d AS (SELECT DISTINCT score AS s FROM lab), t AS (SELECT s AS th FROM d UNION SELECT s + (lead(s) OVER (ORDER BY s) - s) / 2 FROM d UNION SELECT CAST(0 AS DOUBLE) UNION SELECT CAST(1 AS DOUBLE)),
       c AS (SELECT th, count(*) FILTER (WHERE y AND score >= th) AS tp, count(*) FILTER (WHERE NOT y AND score >= th) AS fp, count(*) FILTER (WHERE y AND score < th) AS fn, count(*) FILTER (WHERE NOT y AND score < th) AS tn FROM t, lab WHERE th IS NOT NULL GROUP BY th), q AS (SELECT *, {rates} FROM c), z AS (SELECT *, {f1} AS f1 FROM q)"""
     ts = "try_cast(replace(regexp_replace({}, 'Z$', ''), 'T', ' ') AS TIMESTAMP)"
-    once = f"once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY observation_id ORDER BY recorded_at, pensioner_id) AS n FROM observations WHERE kind = 'FaGCandidateFetch') WHERE n = 1), f AS (SELECT run_id, regexp_extract(payload, '{STRATEGY}', 1) AS strategy, pensioner_id FROM once)"
-    stats = f"{once}, k AS (SELECT run_id, strategy, pensioner_id, count(*) AS fires, bool_or(pensioner_id IN (SELECT pensioner_id FROM results WHERE status = 'auto_accept')) AS ok FROM f WHERE strategy IS NOT NULL AND strategy <> '' GROUP BY ALL), st AS (SELECT run_id, strategy, CAST(sum(fires) AS BIGINT) AS fires, count(*) AS touched, count(*) FILTER (WHERE ok) AS accepted FROM k GROUP BY ALL)"
+    once = f"once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY observation_id ORDER BY recorded_at, pensioner_id) AS n FROM observations WHERE kind = 'FaGCandidateFetch') WHERE n = 1), p AS (SELECT run_id, pensioner_id, {unwrapped_sql('payload')} AS payload FROM once), f AS (SELECT run_id, regexp_extract(payload, '{STRATEGY}', 1) AS strategy, len(regexp_extract_all(payload, '{CANDIDATE}')) AS candidates, pensioner_id FROM p)"
+    stats = f"{once}, k AS (SELECT run_id, strategy, pensioner_id, count(*) AS fires, sum(candidates) AS candidates, bool_or(pensioner_id IN (SELECT pensioner_id FROM results WHERE status = 'auto_accept')) AS ok FROM f WHERE strategy IS NOT NULL AND strategy <> '' GROUP BY ALL), st AS (SELECT run_id, strategy, CAST(sum(fires) AS BIGINT) AS fires, CAST(sum(candidates) AS BIGINT) AS candidates, count(*) AS touched, count(*) FILTER (WHERE ok) AS accepted FROM k GROUP BY ALL)"
     full = lambda c: f"round(100.0 * avg(CASE WHEN trim(coalesce({c}, '')) <> '' THEN 1.0 ELSE 0 END), 2)"
     filled = lambda c: f"trim(coalesce({c}, '')) <> ''"
     tier = f"CASE WHEN {filled('pensioner_birth_year')} AND {filled('pensioner_death_year')} THEN 0 WHEN {filled('pensioner_birth_year')} OR {filled('pensioner_death_year')} THEN 1 WHEN {filled('regiment')} THEN 2 WHEN {filled('pensioner_name')} THEN 3 END"
@@ -231,8 +247,8 @@ def oracle_sql() -> dict[str, str]:
             round(avg(d), 4) AS avg_s, round(any_value(l[CAST(least(floor(0.95 * len(l)), len(l) - 1) AS INTEGER) + 1]), 4) AS p95_s FROM d JOIN o ON o.knowledge_source = d.knowledge_source GROUP BY d.knowledge_source""",
         "work_states": "SELECT knowledge_source, state, count(*) AS n FROM work_items GROUP BY ALL",
         "work_claimable": "SELECT work_id, state, attempt, CAST(least(pow(2, attempt), 60) AS INTEGER) AS wait_s, CASE WHEN attempt >= 3 THEN 'terminal' ELSE 'retryable' END AS if_failed FROM work_items WHERE (state IN ('ready','retryable') AND coalesce(not_before <= TIMESTAMP '2026-01-01', TRUE)) OR (state = 'leased' AND coalesce(lease_deadline_at < TIMESTAMP '2026-01-01', FALSE))",
-        "strategy_runs": f"WITH {stats} SELECT run_id, strategy, fires, touched, accepted, round(accepted / touched, 6) AS success_rate FROM st",
-        "strategy_overall": f"WITH {stats} SELECT strategy, count(*) AS runs, CAST(sum(fires) AS BIGINT) AS fires, CAST(sum(touched) AS BIGINT) AS touched, CAST(sum(accepted) AS BIGINT) AS accepted, round(avg(accepted / touched), 6) AS mean_success_rate FROM st GROUP BY strategy",
+        "strategy_runs": f"WITH {stats} SELECT run_id, strategy, fires, candidates, round(candidates / fires, 6) AS avg_candidates, touched, accepted, round(accepted / touched, 6) AS success_rate FROM st",
+        "strategy_overall": f"WITH {stats} SELECT strategy, count(*) AS runs, CAST(sum(fires) AS BIGINT) AS fires, CAST(sum(candidates) AS BIGINT) AS candidates, CAST(sum(touched) AS BIGINT) AS touched, CAST(sum(accepted) AS BIGINT) AS accepted, round(avg(accepted / touched), 6) AS mean_success_rate FROM st GROUP BY strategy",
         "run_summary": f"SELECT count(*) AS total, count(*) FILTER (WHERE NOT {out}) AS done, count(*) FILTER (WHERE {out}) AS outliers, round(100.0 * count(*) FILTER (WHERE {out}) / count(*), 1) AS outlier_pct FROM results",
         "run_report": "SELECT 'completeness' AS section, item, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT " + ", ".join(f"CAST({full(c)} AS DOUBLE) AS {c}" for c in ("pensioner_birth_year", "pensioner_death_year", "regiment", "company")) + " FROM results) ON COLUMNS(*) INTO NAME item VALUE value) UNION ALL SELECT 'score', CASE WHEN coalesce(best_score,0) < 0.2 THEN '<0.20' WHEN best_score < 0.4 THEN '0.20-0.40' WHEN best_score < 0.6 THEN '0.40-0.60' WHEN best_score < 0.8 THEN '0.60-0.80' WHEN best_score < 0.95 THEN '0.80-0.95' ELSE '>=0.95' END, CAST(count(*) AS DOUBLE) FROM results GROUP BY ALL",
         "decade_histogram": "SELECT CAST(floor(try_cast(regexp_extract(coalesce(born, ''), '(\\d{4})', 1) AS INTEGER) / 10) * 10 AS INTEGER) AS decade, count(*) AS n FROM registry_vets GROUP BY 1",

@@ -3,7 +3,9 @@
 import json
 import random
 
-from rollweave.operators.nested import plan_layout, read_json, schema_graph, shred, shred_array
+from pyspark.sql import functions as F
+
+from rollweave.operators.nested import element_table, plan_layout, read_json, schema_graph, shred, struct_tables
 
 
 def person(rng, depth):
@@ -33,7 +35,10 @@ def test_against_walk(spark):
     for i in range(200):
         cands = [person(rng, 4) for _ in range(rng.randrange(4))]
         j = rng.choice([{"pages": [{"page": 1, "candidates": cands}, {"page": 2, "candidates": cands[0] if cands else None}]}, {"candidates": cands}, {"query": {}}, {"pages": None, "candidates": cands}])
-        docs.append((f"o{i}", json.dumps(j), "clash"))
+        text = json.dumps(j)
+        for _ in range(rng.choice([0, 0, 0, 1, 2])):  # JSON written as a string
+            text = json.dumps(text)
+        docs.append((f"o{i}", text, "clash"))
         if j.get("pages"):
             for k, p in enumerate(j["pages"]):
                 walk(p.get("candidates"), str(k), want, f"o{i}")
@@ -42,20 +47,26 @@ def test_against_walk(spark):
     docs += [("bad", '{"candidates": [{"memorial_id": "1"', "c"), ("null", None, "c"), ("empty", "", "c"), ("list", "[1, 2]", "c"), (None, '{"candidates": {"memorial_id": "7"}}', "c"), docs[0]]
     want.add(("", "0/0", "7"))
     df = spark.createDataFrame(docs, "k string, payload string, path string")
-    graph = [(r["parent"], r["child"], r["repeated"]) for r in schema_graph(df, "payload").collect()]
+    graph = [(r["parent"], r["child"], r["kind"], r["repeated"]) for r in schema_graph(df, "payload").collect()]
     layout = plan_layout(graph, {"memorialId": "memorial_id"}, (("pages", "candidates"),))
     assert {"candidates", "family", "pages"} <= layout.tables and layout.inlined["place"] == "details"
     rows = shred(df, "k", "payload", layout, "memorial_id").where("element in ('candidates', 'family')").collect()
     assert {(r["parent_id"], r["path"], r["child_id"]) for r in rows if r["child_id"]} == want
     assert all(r["path"].startswith(r["parent_path"]) for r in rows)
-    assert all(r["fields"]["details.place.state"] == "OK" for r in rows if "details.year" in r["fields"])
+    found = shred(df, "k", "payload", layout, "memorial_id")
+    people = element_table(found, layout, "candidates").unionByName(element_table(found, layout, "family"), allowMissingColumns=True)
+    assert people.columns == ["parent_id", "path", "parent_path", "memorial_id", "slug"] and dict(people.dtypes)["memorial_id"] == "string"
+    details = element_table(found, layout, "details")
+    assert dict(details.dtypes)["year"] == "bigint" and {r["place_state"] for r in details.collect()} == {"OK"}
+    assert {(r["parent_id"], r["path"], r["memorial_id"].strip()) for r in people.where("trim(memorial_id) <> ''").collect()} == want
+    assert people.alias("c").join(found.alias("p"), F.expr("c.parent_id = p.parent_id and c.parent_path = p.path")).count() >= people.where("parent_path like '%/%'").count() > 0
 
 
 def test_deep_and_damaged(spark):
     deep = '{"family": ' * 300 + '{"memorial_id": "9"}' + "}" * 300
     assert read_json("x") is None and read_json(None) is None and read_json("﻿ {}x") == {} and read_json('{"a": 1} junk') == {"a": 1}
     df = spark.createDataFrame([("d", deep)], "k string, payload string")
-    graph = [(r["parent"], r["child"], r["repeated"]) for r in schema_graph(df, "payload").collect()]
+    graph = [(r["parent"], r["child"], r["kind"], r["repeated"]) for r in schema_graph(df, "payload").collect()]
     layout = plan_layout(graph)
     assert "family" in layout.tables
     found = shred(df, "k", "payload", layout, "memorial_id", keep_fields=False).where("child_id <> ''").collect()
@@ -63,6 +74,12 @@ def test_deep_and_damaged(spark):
     assert shred(df.limit(0), "k", "payload", layout, "memorial_id").count() == 0 and schema_graph(df.limit(0), "payload").count() == 0
 
 
-def test_array(spark):
-    df = spark.createDataFrame([(1, [{"id": 5}, None, {"id": None}, {"id": 6}]), (2, []), (3, None)], "p long, a array<struct<id:long>>")
-    assert {tuple(r) for r in shred_array(df, "p", "a", "id").collect()} == {("1", "0", "5"), ("1", "3", "6")}
+def test_struct_tables(spark):
+    rows = [(1, [{"id": 5, "path": "x", "at": {"town": "A"}, "kin": [{"id": 50}, None]}, None, {"id": None}, {"id": 6, "kin": []}]), (2, []), (3, None), (None, [{"id": 7}])]
+    df = spark.createDataFrame(rows, "p long, a array<struct<id:long, path:string, at:struct<town:string>, kin:array<struct<id:long>>>>")
+    t = struct_tables(df, "p", "a")
+    assert t["a"].columns == ["parent_id", "path", "parent_path", "id", "path_", "at_town"]
+    assert {tuple(r) for r in t["a"].collect()} == {("1", "0", "", 5, "x", "A"), ("1", "2", "", None, None, None), ("1", "3", "", 6, None, None), ("", "0", "", 7, None, None)}
+    assert [tuple(r) for r in t["a.kin"].collect()] == [("1", "0/0", "0", 50)] and struct_tables(df.limit(0), "p", "a")["a.kin"].count() == 0
+    one = struct_tables(spark.createDataFrame([(1, (3,)), (2, None)], "p long, s struct<id:long>"), "p", "s")
+    assert {tuple(r) for r in one["s"].collect()} == {("1", "0", "", 3)}
