@@ -1,10 +1,11 @@
-"""Variant spellings of names, linked by a metric-space partitioned radius join.
-
-Names are compared within a band, rows that share a further attribute. A band with many rows
-is partitioned as a metric space: pivots are drawn from it, every name lives in the cell of its
-nearest pivot, and is also placed in each cell whose pivot is at most twice the radius farther than its
-own. By the triangle inequality every pair within the radius meets in the home cell of either; there
-it is joined exactly by edit distance.
+"""Variant spellings of names, linked by metric-space partitioning and an exact radius join.
+
+The metric space is that of distinct surnames, each as its consonant skeleton, under Levenshtein distance.
+Pivots are a net of frequent names: taken in rounds, the most frequent uncovered names first, until every name is
+within ``COVER`` of one. A name lives in the cell of its first pivot within ``COVER``, and by the triangle inequality
+any name within ``MOST`` of it is within ``COVER + MOST`` of that pivot: boundary names are replicated to the cells
+of all earlier pivots that near. In each cell names are joined exactly. Rows then meet by
+(name or near name, further attribute), and evidence decides.
 """
 
 from __future__ import annotations
@@ -13,83 +14,146 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from rollweave.llm.groups import connected_groups
-from rollweave.llm.people import evidence, with_rarity
+from rollweave.llm.people import agreement, evidence, with_rarity
 from rollweave.session import cut
 
-RADIUS = 3
-CELL_ROWS = 1_500
-MAX_PIVOTS = 64
+COVER = 1  # edits within which a name belongs to a pivot's cell
+PIVOTS = 2_048  # names taken as pivots at once: bounds what is broadcast, not how many pivots there are
+MOST = 2  # edits of skeletons within which variants are
+LONG = 6  # letters of a skeleton from which two edits of any kind make a variant
+EDITS = 3  # edits of whole surnames up to which rows are compared
+
+
+def skeleton(name: Column) -> Column:
+    """The consonant skeleton of a lower-case surname: what its misspellings mostly leave as it is; '' stays ''."""
+    t = F.translate(name, "cqzw", "kksv")
+    head = F.regexp_replace(F.substring(t, 1, 1), "[aeiouy]", "a")
+    return F.concat(head, F.regexp_replace(F.substring(t, 2, 1_000), "[aeiouyh]", ""))
+
+
+def variant(a: Column, b: Column) -> Column:
+    """Whether two skeletons are variants: within one edit, two if both are long, or the same letters with two of them exchanged."""
+    d = F.levenshtein(a, b, MOST)
+    letters = lambda x: F.array_sort(F.split(x, ""))
+    return (d >= 0) & ((d <= 1) | (F.least(F.length(a), F.length(b)) >= LONG) | (letters(a) == letters(b)))
+
 
+def _thinned(names: list[str], near: set[tuple[str, str]]) -> list[str]:
+    """The names, in order, without those that an earlier one that is kept is near to."""
+    beside: dict[str, set[str]] = {}
+    for a, b in near:
+        beside.setdefault(b, set()).add(a)
+    kept: list[str] = []
+    taken: set[str] = set()
+    for x in names:
+        if not beside.get(x, set()) & taken:
+            kept.append(x)
+            taken.add(x)
+    return kept
 
-def radius_pairs(rows: DataFrame, band: str, key: str, name: str, radius: int = RADIUS, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS, also: Column | None = None) -> DataFrame:
-    """``id_a, id_b, distance``: the pairs ``id_a < id_b`` of a band whose names are within ``radius`` edits, each once.
 
-    ``also``: a further condition on ``x`` and ``y``. Bands of up to ``cell_rows`` rows are one cell; others get up to
-    ``max_pivots`` pivots, one for each slice of the hash range, so that no band is gathered to choose them.
-    Null names and bands meet nothing; equal names are at distance 0; rows repeated with the same key count once.
+def pivot_cells(names: DataFrame, pivots: int = PIVOTS, cover: int = COVER) -> DataFrame:
+    """``name, n, cell, home``: the cells of each distinct name, its own one first among those that cover it, and replicas in earlier ones.
+
+    ``names``: ``name, n``, rows that carry it. At most ``pivots`` names a round reach the driver and are broadcast; rounds
+    end when no name is uncovered, and each covers all its pivots at least.
     """
-    rows = rows.where(F.col(band).isNotNull() & F.col(name).isNotNull())
-    size = rows.groupBy(band).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_rows)
-    large = size.select(band, F.least(F.ceil(F.col("n") * 4 / cell_rows), F.lit(max_pivots)).cast("int").alias("p"))
-    drawn = rows.select(band, name).join(large, band).groupBy(band, F.pmod(F.xxhash64(name), "p").alias("slice")).agg(F.min_by(name, F.xxhash64(name, F.lit(7))).alias("pivot"))
-    pivots = drawn.groupBy(band).agg(F.array_sort(F.collect_set("pivot")).alias("pivots"))  # at most max_pivots each
-    placed = rows.join(pivots, band, "left").withColumn("d", F.transform("pivots", lambda p: F.levenshtein(F.col(name), p)))
-    placed = placed.withColumn("home", F.coalesce(F.array_position("d", F.array_min("d")), F.lit(1)).cast("int"))
-    cells = F.when(F.col("d").isNull(), F.array(F.lit(1))).otherwise(F.filter(F.transform("d", lambda d, i: F.when(d <= F.array_min("d") + 2 * radius, i + 1)), lambda c: c.isNotNull()))
-    placed = placed.withColumn("cells", cells).drop("d", "pivots")
-    x = placed.drop("cells").alias("x")
-    y = placed.withColumn("cell", F.explode("cells")).drop("cells").alias("y")
-    once = (F.col("x.home") < F.col("y.home")) | (F.col("x.home") == F.col("y.home")) & (F.col(f"x.{key}") < F.col(f"y.{key}"))
-    met = (F.col(f"x.{band}") == F.col(f"y.{band}")) & (F.col("x.home") == F.col("y.cell")) & once & (F.col(f"x.{key}") != F.col(f"y.{key}"))
-    met = met & (F.abs(F.length(f"x.{name}") - F.length(f"y.{name}")) <= radius)
-    if also is not None:
-        met = met & also
-    # a distance of -1 is one above the radius
-    close = F.levenshtein(F.col(f"x.{name}"), F.col(f"y.{name}"), radius)
-    pairs = x.join(y, met & (close >= 0)).select(F.least(f"x.{key}", f"y.{key}").alias("id_a"), F.greatest(f"x.{key}", f"y.{key}").alias("id_b"), close.alias("distance"))
-    return pairs.groupBy("id_a", "id_b").agg(F.min("distance").alias("distance"))
-
-
-def banded(features: DataFrame) -> DataFrame:
-    """The bands of each row: two rows about one person share at least one, unless they share hardly any attribute.
-
-    Rows with the same surname meet by it. Rows with another spelling meet by a year and an unchanged start or end of the
-    surname, or, wherever it changed, by both years, by a year and both initials, or by a unit. First and middle initials
-    count alike; a row without a given name is in the bands of all initials.
+    spark = names.sparkSession
+    open_ = names
+    met: list[DataFrame] = []
+    first = 0
+    while True:
+        chosen = [r["name"] for r in open_.orderBy(F.desc("n"), "name").limit(pivots).collect()]
+        if not chosen:
+            break
+        some = spark.createDataFrame([(i, x) for i, x in enumerate(chosen)], "i int, pivot string")
+        other = F.broadcast(some.select(F.col("i").alias("j"), F.col("pivot").alias("other")))
+        near = some.join(other, (F.col("i") < F.col("j")) & (F.levenshtein("pivot", "other", cover) >= 0)).select("pivot", "other").collect()
+        kept = _thinned(chosen, {(r["pivot"], r["other"]) for r in near})
+        centres = F.broadcast(spark.createDataFrame([(first + i, x) for i, x in enumerate(kept)], "cell int, pivot string"))
+        first += len(kept)
+        d = F.levenshtein(F.col("name"), F.col("pivot"), cover + MOST)  # -1 beyond
+        here = cut(open_.join(centres, d >= 0).select("name", "n", "cell", (d <= cover).alias("covers")))
+        met.append(here)
+        open_ = cut(open_.join(here.where("covers").select("name").distinct(), "name", "left_anti"))
+    if not met:
+        return names.select("name", "n", F.lit(0).alias("cell"), F.lit(0).alias("home")).limit(0)
+    cells = reduce(DataFrame.unionByName, met)
+    home = F.min(F.when(F.col("covers"), F.col("cell"))).over(Window.partitionBy("name"))
+    return cells.withColumn("home", home).where("cell <= home").select("name", "n", "cell", "home")
+
+
+def near_names(names: DataFrame, pivots: int = PIVOTS, cover: int = COVER) -> DataFrame:
+    """``rare, common``: all pairs of different names that are variants, the one with more rows second.
+
+    Each pair comes from one cell only, the home cell of the name whose pivot comes first. Names are distinct; an empty table gives none.
+    """
+    cells = pivot_cells(names, pivots, cover)
+    x = cells.where("cell = home").select("cell", F.col("name").alias("a"), F.col("n").alias("na"))
+    y = cells.select("cell", F.col("name").alias("b"), F.col("n").alias("nb"), (F.col("cell") == F.col("home")).alias("own"))
+    met = x.join(y, "cell").where((~F.col("own") | (F.col("a") < F.col("b"))) & variant(F.col("a"), F.col("b")))
+    a_rare = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") > F.col("b"))
+    return met.select(F.when(a_rare, F.col("a")).otherwise(F.col("b")).alias("rare"), F.when(a_rare, F.col("b")).otherwise(F.col("a")).alias("common"))
+
+
+YEARS = 5  # years of a bucket
+GAP = 2  # years that two rows about one person may differ by
+
+
+def _bands(near: bool) -> Column:
+    """The attributes by which a row meets others of a name: ``kind, value`` structs.
+
+    Unit, birth or death, each with a first or middle initial; rows of the same name also meet by initials alone. A row
+    without a given name is in the bands of all initials. ``near``: of the side that tries neighbouring years too.
     """
-    span = lambda x: F.when(F.col(x).isNull(), F.array().cast("array<int>")).otherwise(F.array_distinct(F.array(F.floor((F.col(x) - 1) / 3).cast("int"), F.floor((F.col(x) + 1) / 3).cast("int"))))
-    ends = F.array(F.concat(F.lit("<"), F.substring("surname", 1, 2)), F.concat(F.lit(">"), F.expr("right(surname, 2)")))
     letters = lambda x: F.filter(F.split(x, ""), lambda g: g != "")
-    first, middle = letters("gi"), letters("mi")
     every = F.array(*[F.lit(x) for x in "abcdefghijklmnopqrstuvwxyz"])
-    initials = F.when(F.size(first) == 0, every).otherwise(F.array_distinct(F.concat(first, middle)))
-    both = F.flatten(F.transform(first, lambda g: F.transform(middle, lambda m: F.concat(F.least(g, m), F.greatest(g, m)))))
-    nothing = F.array().cast("array<string>")
+    first = letters("gi")
+    initials = F.when(F.size(first) == 0, every).otherwise(F.array_distinct(F.concat(first, letters("mi"))))
+    none = F.array().cast("array<int>")
 
-    def cross(tag: str, *parts: Column) -> Column:
-        def append(out: Column, part: Column) -> Column:
-            return F.flatten(F.transform(out, lambda o: F.transform(part, lambda v: F.concat(o, F.lit("|"), v.cast("string")))))
+    def years(x: str) -> Column:
+        of = lambda shift: F.floor((F.col(x) + shift) / YEARS).cast("int")
+        return F.when(F.col(x).isNull(), none).otherwise(F.array_distinct(F.array(of(-GAP), of(GAP))) if near else F.array(of(0)))
 
-        return F.coalesce(reduce(append, parts, F.array(F.lit(tag))), nothing)
+    def of(kind: str, values: Column) -> Column:
+        return F.flatten(F.transform(initials, lambda i: F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), F.concat(i, v.cast("string")).alias("value")))))
 
-    bands = F.concat(
-        cross("u", F.col("units"), initials),
-        cross("s", F.array("surname"), initials),
-        cross("b", span("birth"), initials, ends),
-        cross("d", span("death"), initials, ends),
-        cross("bd", span("birth"), span("death"), initials),
-        cross("bm", span("birth"), both),
-        cross("dm", span("death"), both),
-    )
-    return features.select("id", "surname", "birth", "death", F.explode(F.transform(F.array_distinct(bands), lambda b: F.xxhash64(b))).alias("band"))
+    return F.concat(of("u", F.col("units")), of("b", years("birth")), of("d", years("death")), of("n", F.array(F.lit(0))))
 
 
-def candidate_pairs(features: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``id_a, id_b, distance`` of rows that share a band, with surnames within the radius and years that don't contradict."""
-    agree = lambda c: F.coalesce(F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) <= 2, F.lit(True))
-    return radius_pairs(banded(features), "band", "id", "surname", radius, also=agree("birth") & agree("death"))
+def candidate_pairs(features: DataFrame, weights: bool = False, pivots: int = PIVOTS) -> DataFrame:
+    """``id_a, id_b, distance`` of rows with the same or a near name that share an attribute, and whose years don't contradict.
+
+    Surnames are within ``EDITS``. With ``weights`` also ``weight``: the bits by which what they share is rare, the rarest block of
+    each kind summed over kinds. Only the side with the rarer name is sent to the blocks of near names.
+    """
+    rows = features.select("id", "surname", "birth", "death", "gi", "mi", "units", skeleton(F.col("surname")).alias("name"))
+    names = cut(rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")))
+    near = near_names(names, pivots).select(F.col("rare").alias("name"), F.col("common").alias("to"))
+    key = lambda to: F.xxhash64(F.col(to), F.col("band.kind"), F.col("band.value"))
+    kept = ["id", "surname", "birth", "death"]
+    y = rows.select("name", *kept, F.explode(_bands(True)).alias("band")).select(key("name").alias("key"), *kept)
+    own = rows.withColumn("to", F.col("name"))
+    moved = rows.join(near, "name")
+    spread = lambda r, same: r.select("to", *kept, F.explode(F.filter(_bands(False), lambda b: F.lit(same) | (b["kind"] != "n"))).alias("band")).select(key("to").alias("key"), *kept, F.col("band.kind").alias("kind"), F.lit(same).alias("same"))
+    x = spread(own, True).unionByName(spread(moved, False))
+    if weights:
+        y = y.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    c = F.col
+    agree = lambda v: F.coalesce(F.abs(c(f"x.{v}") - c(f"y.{v}")) <= GAP, F.lit(True))
+    d = F.levenshtein(c("x.surname"), c("y.surname"), EDITS)  # -1 beyond
+    other = c("x.id") != c("y.id")
+    met = x.alias("x").join(y.alias("y"), (c("x.key") == c("y.key")) & other & (~c("x.same") | (c("x.id") < c("y.id"))) & agree("birth") & agree("death") & (d >= 0))
+    ends = [F.least("x.id", "y.id").alias("id_a"), F.greatest("x.id", "y.id").alias("id_b")]
+    if not weights:
+        return met.select(*ends, d.alias("distance")).groupBy("id_a", "id_b").agg(F.min("distance").alias("distance"))
+    total = features.agg(F.count(F.lit(1)).alias("all"))
+    least = met.select(*ends, d.alias("distance"), c("x.kind").alias("kind"), c("y.size").alias("size")).groupBy("id_a", "id_b").agg(F.min("distance").alias("distance"), *[F.min(F.when(c("kind") == k, c("size"))).alias(k) for k in "ubdn"])
+    bits = reduce(lambda a, b: a + b, [F.coalesce(F.log2(c("all") / c(k)), F.lit(0.0)) for k in "ubdn"])
+    return least.crossJoin(F.broadcast(total)).select("id_a", "id_b", "distance", bits.alias("weight"))
 
 
 def weighed_pairs(features: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -98,23 +162,46 @@ def weighed_pairs(features: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.select("id_a", "id_b", evidence(F.col("distance")).alias("score")).where("score is not null").groupBy("id_a", "id_b").agg(F.max("score").alias("score"))
 
 
-def close_groups(features: DataFrame, linked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``id_a, id_b`` of ``linked`` and of the pairs that it joins indirectly and that no attribute contradicts."""
-    groups = cut(connected_groups(linked, "id_a", "id_b").select(F.col("ref").cast("long").alias("id"), "group_ref"))
-    a, b = groups.select(F.col("id").alias("id_a"), "group_ref"), groups.select(F.col("id").alias("id_b"), "group_ref")
-    indirect = a.join(b, "group_ref").where("id_a < id_b").select("id_a", "id_b").join(linked, ["id_a", "id_b"], "left_anti")
+def _carried(sure: DataFrame) -> DataFrame:
+    """``id_a, id_b, path``: the pairs with a common neighbour, and the bits by which the best one has both its edges right."""
+    either = sure.select(F.col("id_a").alias("id"), F.col("id_b").alias("next"), "score").unionByName(sure.select(F.col("id_b").alias("id"), F.col("id_a").alias("next"), "score"))
+    x, y = either.select(F.col("id").alias("id_a"), "next", F.col("score").alias("s")), either.select(F.col("id").alias("id_b"), "next", F.col("score").alias("t"))
+    path = F.least("s", "t") - F.log2(1 + F.pow(F.lit(2.0), -F.abs(F.col("s") - F.col("t"))))
+    return x.join(y, "next").where("id_a < id_b").groupBy("id_a", "id_b").agg(F.max(path).alias("path"))
+
+
+def propagated(features: DataFrame, sure: DataFrame, margin: float) -> DataFrame:
+    """``id_a, id_b, score``: ``sure`` and the pairs that become sure by their neighbours, until none does.
+
+    Each round, every pair that isn't sure but has a sure neighbour in common is scored anew: what its own attributes
+    agree in, and the bits by which both edges to the best such neighbour are right (its path stands for the chance
+    that the pair alone has to overcome). A pair that any attribute contradicts never becomes sure. Nothing adds up over
+    rounds; only the number of new pairs reaches the driver.
+    """
     at = F.levenshtein(F.col("a.surname"), F.col("b.surname"))
-    checked = indirect.join(features.alias("a"), F.col("id_a") == F.col("a.id")).join(features.alias("b"), F.col("id_b") == F.col("b.id")).where((at <= 2 * radius) & evidence(at).isNotNull()).select("id_a", "id_b").distinct()
-    return linked.unionByName(checked)
+    new = sure
+    while True:
+        # only paths over an edge of the last round can be new
+        ends = new.select(F.col("id_a").alias("id")).unionByName(new.select(F.col("id_b").alias("id"))).distinct()
+        beside = sure.join(ends.withColumnRenamed("id", "id_a"), "id_a", "left_semi").unionByName(sure.join(ends.withColumnRenamed("id", "id_b"), "id_b", "left_semi")).distinct()
+        open_ = _carried(beside).join(sure, ["id_a", "id_b"], "left_anti")
+        both = open_.join(features.alias("a"), F.col("id_a") == F.col("a.id")).join(features.alias("b"), F.col("id_b") == F.col("b.id")).where(at <= 2 * EDITS)
+        new = cut(both.select("id_a", "id_b", (agreement() + F.col("path")).alias("score")).where(F.col("score") >= margin).groupBy("id_a", "id_b").agg(F.max("score").alias("score")))
+        if not new.limit(1).count():
+            return sure
+        sure = cut(sure.unionByName(new))
+
+
+MARGIN = 0.0  # bits above chance from which a pair is sure: it is likelier than not
 
 
-def link_names(features: DataFrame, margin: float = 6.0, radius: int = RADIUS) -> DataFrame:
+def link_names(features: DataFrame, margin: float = MARGIN, pivots: int = PIVOTS) -> DataFrame:
     """``id_a, id_b``: all pairs ``id_a < id_b`` of different ids whose rows name the same person.
 
-    A pair is linked if its evidence exceeds what chance gives among the rows of its name by ``margin`` bits. Links
-    are closed to groups, and of a group every pair that no attribute contradicts is given.
-    ``features``: see ``person_features``. Several rows of one id may differ; each is compared.
+    A pair is linked if its evidence exceeds what chance gives among the rows of its name by ``margin`` bits, by itself or
+    carried by pairs that are (see ``propagated``). ``features``: see ``person_features``. Several rows of one id may
+    differ; each is compared.
     """
     f = cut(with_rarity(cut(features)))  # read once: three counts hang on it
-    linked = cut(weighed_pairs(f, candidate_pairs(f, radius)).where(F.col("score") >= margin).select("id_a", "id_b"))
-    return close_groups(f, linked, radius)
+    sure = cut(weighed_pairs(f, candidate_pairs(f, pivots=pivots)).where(F.col("score") >= margin))
+    return propagated(f, sure, margin).select("id_a", "id_b")

@@ -1,9 +1,9 @@
 """Comparable features of records about persons, and the evidence that two records name the same one.
 
 Features are read from typed fields in one Arrow pass; the comparison itself is a column expression.
-Each agreeing attribute counts the bits by which it is rarer in chance pairs; against them stand the rows
-that carry the name anyway. The size of the table as such counts for nothing; a contradiction in any
-attribute rules the pair out.
+Each agreeing attribute counts the bits by which it is rarer in chance pairs, fixed for each kind of attribute; against
+them stand the rows that carry the name anyway, and how seldom a surname is misspelt that far. The size of the table
+as such counts for nothing; a contradiction in any attribute rules the pair out.
 """
 
 from __future__ import annotations
@@ -158,9 +158,9 @@ def person_features(rows: DataFrame, regiments: DataFrame) -> DataFrame:
                     if not surname:
                         continue
                     parts = []
-                    for word in (*others[:2], "", "")[:2]:
-                        names = list(given_names(word)) or [word] if len(word) > 1 else []
-                        parts += [names, "".join(sorted({g[0] for g in names})) or word]
+                    for words in (others[:1], others[1:]):  # the first name, and all others
+                        names = sorted({n for w in words if len(w) > 1 for n in given_names(w) or (w,)})
+                        parts += [names, "".join(sorted({n[0] for n in names} | {w for w in words if len(w) == 1}))]
                     out.append((key, kind, surname, *parts, first_year(birth), first_year(death), units_of(unit), company_letters(company)))
             frame = pd.DataFrame(out, columns=["id", "kind", "surname", "given", "gi", "middle", "mi", "birth", "death", "units", "companies"])
             frame["birth"], frame["death"] = frame["birth"].astype("Int32"), frame["death"].astype("Int32")
@@ -177,8 +177,10 @@ def with_rarity(features: DataFrame) -> DataFrame:
 
 
 INITIALS = {"given": "gi", "middle": "mi"}
-# fixed values: shares of rows whose surname is another one within 1, 2 and 3 edits (mean over 400 rows of check_l against all)
-NEAR = (1 / 2700, 1 / 900, 1 / 240)
+# fixed values: shares of rows whose surname is a variant of another one at 1, 2 and 3 edits (all pairs of rows of check_l)
+NEAR = (1 / 2400, 1 / 1700, 1 / 1065)
+# fixed values: bits by which surnames of one person are less often 0, 1, 2 and 3 edits apart than equal (shares among linked rows of check_l)
+SPELT = (0.0, 0.5, 1.5, 4.0)
 # fixed values: bits of years that are equal, one and two apart, from their shares among rows of check_l with the same whole name, less those of years far apart
 YEARS = (5.3, 2.3, -2.0)
 
@@ -220,7 +222,8 @@ def evidence(distance: Column) -> Column:
     as near to it. ``distance``: edit distance of the surnames.
     """
     share = F.when(distance == 0, 0.0).when(distance == 1, NEAR[0]).when(distance == 2, NEAR[1]).otherwise(NEAR[2])
-    return agreement() - F.log2(F.greatest("a.block", "b.block") + F.col("a.total") * share)
+    spelt = F.when(distance == 0, SPELT[0]).when(distance == 1, SPELT[1]).when(distance == 2, SPELT[2]).otherwise(SPELT[3])
+    return agreement() - spelt - F.log2(F.greatest("a.block", "b.block") + F.col("a.total") * share)
 
 
 def results_people(results: DataFrame) -> DataFrame:
