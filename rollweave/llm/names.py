@@ -61,7 +61,8 @@ def pivot_cells(names: DataFrame, pivots: int = PIVOTS, cover: int = COVER) -> D
     end when no name is uncovered, and each covers all its pivots at least.
     """
     spark = names.sparkSession
-    open_ = names
+    tasks = _tasks(names)
+    open_ = names.repartition(tasks, "name")
     met: list[DataFrame] = []
     first = 0
     while True:
@@ -77,7 +78,7 @@ def pivot_cells(names: DataFrame, pivots: int = PIVOTS, cover: int = COVER) -> D
         d = F.levenshtein(F.col("name"), F.col("pivot"), cover + MOST)  # -1 beyond
         here = cut(open_.join(centres, d >= 0).select("name", "n", "cell", (d <= cover).alias("covers")))
         met.append(here)
-        open_ = cut(open_.join(here.where("covers").select("name").distinct(), "name", "left_anti"))
+        open_ = cut(open_.join(here.where("covers").select("name").distinct(), "name", "left_anti").repartition(tasks, "name"))
     if not met:
         return names.select("name", "n", F.lit(0).alias("cell"), F.lit(0).alias("home")).limit(0)
     cells = reduce(DataFrame.unionByName, met)
@@ -85,12 +86,18 @@ def pivot_cells(names: DataFrame, pivots: int = PIVOTS, cover: int = COVER) -> D
     return cells.withColumn("home", home).where("cell <= home").select("name", "n", "cell", "home")
 
 
+def _tasks(df: DataFrame) -> int:
+    """Partitions for few bytes with much work, which adaptive execution would put into one."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def near_names(names: DataFrame, pivots: int = PIVOTS, cover: int = COVER) -> DataFrame:
     """``rare, common``: all pairs of different names that are variants, the one with more rows second.
 
     Each pair comes from one cell only, the home cell of the name whose pivot comes first. Names are distinct; an empty table gives none.
     """
     cells = pivot_cells(names, pivots, cover)
+    cells = cut(cells.repartition(_tasks(names), "cell"))
     x = cells.where("cell = home").select("cell", F.col("name").alias("a"), F.col("n").alias("na"))
     y = cells.select("cell", F.col("name").alias("b"), F.col("n").alias("nb"), (F.col("cell") == F.col("home")).alias("own"))
     met = x.join(y, "cell").where((~F.col("own") | (F.col("a") < F.col("b"))) & variant(F.col("a"), F.col("b")))
@@ -102,26 +109,26 @@ YEARS = 5  # years of a bucket
 GAP = 2  # years that two rows about one person may differ by
 
 
-def _bands(near: bool) -> Column:
-    """The attributes by which a row meets others of a name: ``kind, value`` structs.
+def _banded(rows: DataFrame, to: str, kept: list[str], near: bool, names: bool) -> DataFrame:
+    """``key, kind`` and the kept columns: a row for each block of name ``to`` that a row is in.
 
-    Unit, birth or death, each with a first or middle initial; rows of the same name also meet by initials alone. A row
-    without a given name is in the bands of all initials. ``near``: of the side that tries neighbouring years too.
+    A block is a name together with a first or middle initial and a unit, birth or death; with ``names`` also the name and
+    initial alone. A row without a given name is in the blocks of all initials. ``near``: of the side that tries neighbouring
+    years too.
     """
-    letters = lambda x: F.filter(F.split(x, ""), lambda g: g != "")
+    letters = F.filter(F.split(F.concat("gi", F.when(F.col("gi") != "", F.col("mi")).otherwise("")), ""), lambda g: g != "")
     every = F.array(*[F.lit(x) for x in "abcdefghijklmnopqrstuvwxyz"])
-    first = letters("gi")
-    initials = F.when(F.size(first) == 0, every).otherwise(F.array_distinct(F.concat(first, letters("mi"))))
-    none = F.array().cast("array<int>")
-
-    def years(x: str) -> Column:
-        of = lambda shift: F.floor((F.col(x) + shift) / YEARS).cast("int")
-        return F.when(F.col(x).isNull(), none).otherwise(F.array_distinct(F.array(of(-GAP), of(GAP))) if near else F.array(of(0)))
-
-    def of(kind: str, values: Column) -> Column:
-        return F.flatten(F.transform(initials, lambda i: F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), F.concat(i, v.cast("string")).alias("value")))))
-
-    return F.concat(of("u", F.col("units")), of("b", years("birth")), of("d", years("death")), of("n", F.array(F.lit(0))))
+    initials = F.when(F.col("gi") == "", every).otherwise(F.array_distinct(letters))
+    block = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("long").alias("value"))
+    of = lambda x, shift: F.floor((F.col(x) + shift) / YEARS)
+    blocks = F.transform("units", lambda u: block("u", u))
+    for kind, x in (("b", "birth"), ("d", "death")):
+        years = F.array_distinct(F.array(block(kind, of(x, -GAP)), block(kind, of(x, GAP)))) if near else F.array(block(kind, of(x, 0)))
+        blocks = F.concat(blocks, F.when(F.col(x).isNull(), F.slice(years, 1, 0)).otherwise(years))
+    if names:
+        blocks = F.concat(blocks, F.array(block("n", F.lit(0))))
+    spread = rows.select(to, *kept, blocks.alias("blocks"), F.explode(initials).alias("initial")).select(to, *kept, "initial", F.explode("blocks").alias("block"))
+    return spread.select(F.xxhash64(to, "initial", "block.kind", "block.value").alias("key"), F.col("block.kind").alias("kind"), *kept)
 
 
 def candidate_pairs(features: DataFrame, weights: bool = False, pivots: int = PIVOTS) -> DataFrame:
@@ -133,13 +140,9 @@ def candidate_pairs(features: DataFrame, weights: bool = False, pivots: int = PI
     rows = features.select("id", "surname", "birth", "death", "gi", "mi", "units", skeleton(F.col("surname")).alias("name"))
     names = cut(rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")))
     near = near_names(names, pivots).select(F.col("rare").alias("name"), F.col("common").alias("to"))
-    key = lambda to: F.xxhash64(F.col(to), F.col("band.kind"), F.col("band.value"))
     kept = ["id", "surname", "birth", "death"]
-    y = rows.select("name", *kept, F.explode(_bands(True)).alias("band")).select(key("name").alias("key"), *kept)
-    own = rows.withColumn("to", F.col("name"))
-    moved = rows.join(near, "name")
-    spread = lambda r, same: r.select("to", *kept, F.explode(F.filter(_bands(False), lambda b: F.lit(same) | (b["kind"] != "n"))).alias("band")).select(key("to").alias("key"), *kept, F.col("band.kind").alias("kind"), F.lit(same).alias("same"))
-    x = spread(own, True).unionByName(spread(moved, False))
+    y = _banded(rows, "name", kept, True, True).drop("kind")
+    x = _banded(rows, "name", kept, False, True).withColumn("same", F.lit(True)).unionByName(_banded(rows.join(near, "name"), "to", kept, False, False).withColumn("same", F.lit(False)))
     if weights:
         y = y.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
     c = F.col
