@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from rollweave.session import cut
 
 CELL_EDGES = 200_000  # edges a cell is meant to hold: bounds the memory of one task
+LAST_EDGES = 64  # edges between roots that are finished in one cell
 
 
 def local_representatives(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
@@ -67,13 +68,15 @@ def connected_groups(edges: DataFrame, left: str, right: str, cell_edges: int =
     Null and empty ends, and edges from a vertex to itself, link nothing and give no row; repeated
     edges and either direction count once; an empty table gives none. Nothing but the number of edges
     left reaches the driver. Every vertex that is not the smallest around it is merged in each round, chains whole, so
-    rounds grow with the logarithm of the largest group; the edges left over run between roots only.
+    rounds grow with the logarithm of the largest group; the edges left over run between roots only. The grid has a cell
+    for each core at least, 2 x 2 on one, and more where ``cell_edges`` asks for them.
     """
+    cores = edges.sparkSession.sparkContext.defaultParallelism
     a, b = F.col(left).cast("string"), F.col(right).cast("string")
     now = cut(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u is not null and v is not null and u <> '' and u <> v").distinct())
     parents: list[DataFrame] = []
     while n := now.count():
-        blocks = math.ceil(math.sqrt(n / cell_edges))
+        blocks = 1 if n <= LAST_EDGES else max(2, math.ceil(math.sqrt(max(cores, n / cell_edges))))
         local = _exchange(now, blocks)
         if blocks == 1:
             parents.append(local.select(F.col("vertex").alias("ref"), F.col("rep").alias("group_ref")))
