@@ -44,25 +44,23 @@ def _copies(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """The surviving unit, birth and cemetery of each veteran copied for several pensioners."""
-    copies = _copies(spark, d).join(F.broadcast(table(spark, d, "vet_sources").select("source", "trust")), "source", "left")
+    copies = _copies(spark, d).join(table(spark, d, "vet_sources").groupBy("source").agg(F.max("trust").alias("trust")), "source", "left")
     places = table(spark, d, "cemeteries").select("cemetery_id").distinct().withColumn("known_place", F.lit(True))
-    copies = copies.join(F.broadcast(places), "cemetery_id", "left")
-    several = copies.groupBy("vet_id").agg(F.min("pensioner_id").alias("a"), F.max("pensioner_id").alias("b")).where("a < b").select("vet_id")
+    copies = copies.join(places, "cemetery_id", "left")
     fetched = F.coalesce(F.col("fetched"), F.lit("0001-01-01").cast("timestamp"))
     fields = {
         "unit": ("unit", fusion.known(F.col("unit")), [F.coalesce(F.col("trust"), F.lit(0)), fetched]),
         "born": ("born", fusion.known(F.col("born")), [fusion.birth_precision(F.col("born")), fetched]),
         "cemetery_id": ("cemetery_id", F.coalesce(F.col("known_place"), F.lit(False)), [fetched]),
     }
-    best = fusion.survive(copies, "vet_id", fields).join(several, "vet_id", "left_semi")
+    best = fusion.survive(copies, "vet_id", fields, several="pensioner_id")
     return best.select("vet_id", F.coalesce("unit", F.lit("")).alias("unit"), F.coalesce("born", F.lit("")).alias("born"), F.coalesce("cemetery_id", F.lit(0)).alias("cemetery_id"))
 
 
 def p6_fused(spark: SparkSession, d: str) -> DataFrame:
-    """Units and cemeteries by Bayesian fusion with copy detection, with the posterior of each."""
-    copies = _copies(spark, d).withColumns({"place": F.col("cemetery_id").cast("string"), "vet_id": F.col("vet_id")})
-    units = fusion.fuse(copies, "vet_id", "unit", "source").select("vet_id", "field", "value", F.round("posterior", 6).alias("posterior"))
-    return units.unionByName(fusion.fuse(copies, "vet_id", "place", "source").select("vet_id", "field", "value", F.round("posterior", 6).alias("posterior")))
+    """Unit, birth and cemetery of each veteran by Bayesian fusion with copy detection, with the posterior of each."""
+    fused = fusion.fuse(_copies(spark, d), "vet_id", ["unit", "born", "cemetery_id"], "source")
+    return fused.select("vet_id", "field", "value", F.round("posterior", 6).alias("posterior"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

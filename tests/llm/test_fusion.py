@@ -21,6 +21,7 @@ def test_survive(spark):
     fields = {"v": ("v", known(F.col("v")), [F.col("p"), F.col("q")]), "w": ("v", known(F.col("v")), [F.col("q")])}
     assert {tuple(r) for r in survive(df, "g", fields).collect()} == {(1, "b", "a"), (2, None, None), (3, "y", "y")}
     assert survive(df.limit(0), "g", fields).collect() == []
+    assert [r["g"] for r in survive(df, "g", fields, several="q").collect()] == [1]
 
 
 def test_fuse(spark):
@@ -31,7 +32,7 @@ def test_fuse(spark):
         rows += [(g, "true" if rng.random() < 0.85 else f"odd{i}{rng.randrange(50)}", f"s{i}") for i in range(3)] + [(g, poor, "poor"), (g, poor, "copy1"), (g, poor, "copy2")]
     rows += [(None, "x", "s0"), (0, None, "s1"), (0, "?", "s2"), (500, "lone", None), rows[0]]
     df = spark.createDataFrame(rows, "g long, v string, s string")
-    got = {r["g"]: (r["value"], r["posterior"]) for r in fuse(df, "g", "v", "s").collect()}
+    got = {r["g"]: (r["value"], r["posterior"]) for r in fuse(df, "g", ["v"], "s").collect()}
     right = sum(got[g][0] == "true" for g in range(150))
     majority = 0
     for g in range(150):
@@ -39,4 +40,4 @@ def test_fuse(spark):
         majority += max(sorted(set(votes)), key=votes.count) == "true"
     assert right > majority and right >= 125
     assert got[500][0] == "lone" and all(0 <= p <= 1.000001 for _, p in got.values()) and set(got) == {*range(150), 500}
-    assert fuse(df.limit(0), "g", "v", "s").collect() == []
+    assert fuse(df.limit(0), "g", ["v"], "s").collect() == []
