@@ -46,6 +46,9 @@ def block_lookup(queries: DataFrame, query_key: str, first: ColumnLike, last: Co
     """
     asked = queries.select(F.col(query_key), text(first).alias("first"), text(last).alias("last"))
     keyed = with_codes(asked, {"first": "first", "last": "last"}).select(query_key, F.explode(block_keys()).alias("block_key"))
+    if most is not None:  # no more than the smallest of a block can be among the smallest of all
+        place = F.row_number().over(Window.partitionBy("block_key").orderBy(key))
+        index = index.distinct().withColumn("_n", place).where(F.col("_n") <= most).drop("_n")
     pairs = keyed.join(index, "block_key").select(query_key, key).distinct()
     if most is None:
         return pairs

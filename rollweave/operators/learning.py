@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from rollweave.operators.prefix import running_sums, with_next
 
 
 def latest_labels(labels: DataFrame, key: str, at: str, keep: list[str]) -> DataFrame:
@@ -37,14 +39,12 @@ def threshold_sweep(pairs: DataFrame, truth: str, score: str) -> DataFrame:
     Scores are counted first; one running sum over the distinct scores replaces a pass per threshold.
     """
     d = pairs.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.count_if(F.col(truth)).alias("p"), F.count_if(~F.col(truth)).alias("n"))
-    up = Window.orderBy("s")
-    mids = d.select((F.col("s") + (F.lead("s").over(up) - F.col("s")) / 2).alias("threshold")).where("threshold is not null")
+    mids = with_next(d.select("s"), "s", "next").select((F.col("s") + (F.col("next") - F.col("s")) / 2).alias("threshold")).where("threshold is not null")
     ends = pairs.sparkSession.createDataFrame([(0.0,), (1.0,)], "threshold double")
     cuts = d.select(F.col("s").alias("threshold")).unionByName(mids).unionByName(ends).distinct()
     points = d.select(F.col("s").alias("x"), "p", "n", F.lit(None).cast("double").alias("threshold")).unionByName(cuts.select(F.col("threshold").alias("x"), F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("n"), "threshold"))
     # at a threshold, scores not below it are predicted
-    down = Window.orderBy(F.col("x").desc()).rangeBetween(Window.unboundedPreceding, 0)
-    sums = points.select("threshold", F.sum("p").over(down).alias("tp"), F.sum("n").over(down).alias("fp")).where("threshold is not null")
+    sums = running_sums(points, [F.col("x").desc()], {"p": "tp", "n": "fp"}).where("threshold is not null").select("threshold", "tp", "fp")
     totals = d.agg(F.coalesce(F.sum("p"), F.lit(0)).alias("P"), F.coalesce(F.sum("n"), F.lit(0)).alias("N"))
     full = sums.crossJoin(F.broadcast(totals)).select("threshold", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"), (F.col("N") - F.col("fp")).alias("tn"))
     return with_rates(full)
@@ -58,7 +58,7 @@ def best_threshold(sweep: DataFrame, metric: str = "f1") -> DataFrame:
 def deciles(pairs: DataFrame, truth: str, score: str) -> DataFrame:
     """``bucket, avg_score, avg_accepted`` of tenths by score: bucket i holds the places from i n // 10 on."""
     d = pairs.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("s"), F.col(truth).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("k"))
-    ordered = d.withColumns({"end": F.sum("k").over(Window.orderBy("s", "y"))})
+    ordered = running_sums(d, [F.col("s"), F.col("y")], {"k": "end"})
     total = d.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
     tenths = ordered.crossJoin(F.broadcast(total)).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(9))))
     low, high = F.floor(F.col("i") * F.col("n") / 10), F.floor((F.col("i") + 1) * F.col("n") / 10)
@@ -95,25 +95,36 @@ def score_for_probability(a: float, b: float, target: float = 0.95, steps: int =
     return round(hi, 3)
 
 
-def pairwise_weights(deltas: DataFrame, features: list[str], defaults: dict[str, float], rate: float = 0.1, steps: int = 100, low: float = 0.1, high: float = 2.0) -> dict[str, float]:
-    """Feature weights by logistic regression on preference deltas, against a zero vector for each; one aggregation per step.
+def pairwise_weights(deltas: DataFrame, features: list[str], defaults: dict[str, float], rate: float = 0.1, steps: int = 100, low: float = 0.1, high: float = 2.0, few: int = 100_000) -> dict[str, float]:
+    """Feature weights by logistic regression on preference deltas, against a zero vector for each.
 
-    Distinct deltas are counted first, so a step reads as many rows as there are different deltas. No deltas give the defaults.
+    Distinct deltas are counted first; up to ``few`` of them, which is checked, are read once and stepped over in the driver,
+    else each step is one aggregation. No deltas give the defaults.
     """
     d = deltas.select(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]).groupBy(*features).agg(F.count(F.lit(1)).alias("k")).cache()
-    n = d.agg(F.sum("k")).first()[0]
+    n, kinds = d.agg(F.sum("k"), F.count(F.lit(1))).first()
     if not n:
         return dict(defaults)
     w, bias = [0.0] * len(features), 0.0
-    for _ in range(steps):
+    counted = np.array([tuple(r) for r in d.collect()], float) if kinds <= few else None
+
+    def gradient() -> tuple[float, list[float]]:
+        if counted is not None:
+            x, k = counted[:, :-1], counted[:, -1]
+            err = (1 - 1 / (1 + np.exp(-np.clip(bias + x @ np.array(w), -50, 50)))) * k
+            return float(err.sum()), [float(g) for g in err @ x]
         z = F.lit(bias)
-        for f, x in zip(features, w):
-            z = z + F.col(f) * x
+        for f, v in zip(features, w):
+            z = z + F.col(f) * v
         err = (1 - 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-50.0)), F.lit(50.0))))) * F.col("k")
         row = d.agg(F.sum(err).alias("e"), *[F.sum(err * F.col(f)).alias(f"g_{f}") for f in features]).first()
+        return row["e"], [row[f"g_{f}"] for f in features]
+
+    for _ in range(steps):
+        e, g = gradient()
         p0 = 1 / (1 + math.exp(-bias))  # the zero vector's probability of being preferred
-        w = [x + rate * row[f"g_{f}"] / (2 * n) for x, f in zip(w, features)]
-        bias += rate * (row["e"] - p0 * n) / (2 * n)
+        w = [x + rate * y / (2 * n) for x, y in zip(w, g)]
+        bias += rate * (e - p0 * n) / (2 * n)
     d.unpersist()
     raw = {f: min(max(defaults.get(f, 1.0) * (1 + x), low), high) for f, x in zip(features, w)}
     top = max(raw.values())
@@ -125,3 +136,9 @@ def strategy_utility(labels: DataFrame, strategy: str, decision: str, rank: str)
     ok = F.col(decision) == "accepted"
     s = labels.where(F.coalesce(F.col(strategy), F.lit("")) != "").groupBy(strategy).agg(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("accepted"), F.count_if(ok & (F.coalesce(F.col(rank), F.lit(1)) == 1)).alias("top1"))
     return s.withColumn("utility", F.round(F.col("accepted") / F.col("total") * (0.5 + 0.5 * F.col("top1") / F.greatest("accepted", F.lit(1))), 4))
+
+
+def calibrated_decisions(decisions: DataFrame, score: str, model: DataFrame) -> DataFrame:
+    """``decisions`` with ``calibrated_probability``, from a one-row ``model`` of ``a, b``; null without a model."""
+    one = model.agg(F.first("a").alias("_a"), F.first("b").alias("_b"))
+    return decisions.crossJoin(F.broadcast(one)).select(*decisions.columns, F.when(F.col("_a").isNotNull(), probability(F.col(score), F.col("_a"), F.col("_b"))).alias("calibrated_probability"))

@@ -78,3 +78,32 @@ def digest(rows: DataFrame, key: str) -> DataFrame:
     words = [F.conv(F.substring(h, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)") for i in range(4)]
     sums = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(w), F.lit(0).cast("decimal(38,0)")).cast("string").alias(f"w{i}") for i, w in enumerate(words)])
     return sums.select("rows", F.sha2(F.concat_ws("|", F.col("rows").cast("string"), *[f"w{i}" for i in range(4)]), 256).alias("digest"))
+
+
+def with_cooldowns(known: DataFrame, new: DataFrame) -> DataFrame:
+    """``provider, not_before``: the known deadlines with the new ones in their place; of two new ones for a provider the later."""
+    latest = new.groupBy("provider").agg(F.max("not_before").alias("not_before"))
+    return known.select("provider", "not_before").join(latest, "provider", "left_anti").unionByName(latest)
+
+
+def claimed(items: DataFrame, state: str, not_before: str, lease: str, now: Column, worker: str, seconds: int, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` items that can be claimed, leased to a worker: state, owner, deadline and the attempt counted up."""
+    due = claimable(items, state, not_before, lease, now).orderBy(*order).limit(n)
+    until = (now.cast("timestamp").cast("double") + seconds).cast("timestamp")
+    return due.withColumns({state: F.lit("leased"), "leased_by": F.lit(worker), lease: until, "attempt": F.coalesce(F.col("attempt"), F.lit(0)) + 1})
+
+
+def progress(rows: DataFrame, done: Column, total: int, begun: Column, now: Column) -> DataFrame:
+    """One row: done, total, per cent, seconds so far and seconds left at the present rate (null before the first is done)."""
+    c = rows.agg(F.count_if(done).alias("done"))
+    took = now.cast("timestamp").cast("double") - begun.cast("timestamp").cast("double")
+    left = F.when(F.col("done") > 0, took / F.col("done") * (F.lit(total) - F.col("done")))
+    return c.select("done", F.lit(total).alias("total"), F.round(100.0 * F.col("done") / F.greatest(F.lit(total), F.lit(1)), 1).alias("percent"), took.alias("seconds"), left.alias("seconds_left"))
+
+
+def batch(rows: DataFrame, order: list[str], prefix: tuple[str, str] | None = None, start: int = 0, end: int | None = None, seed: int | None = None) -> DataFrame:
+    """A run's share of the input: rows whose column begins with a prefix, shuffled if seeded, from place ``start`` up to ``end``. The slice is the feature."""
+    kept = rows if prefix is None else rows.where(F.col(prefix[0]).startswith(prefix[1]))
+    ordered = kept.orderBy(F.xxhash64(F.lit(seed), *order), *order) if seed is not None else kept.orderBy(*order)
+    skipped = ordered.offset(start) if start else ordered
+    return skipped if end is None else skipped.limit(max(0, end - start))

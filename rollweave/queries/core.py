@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollweave.queries import matching, names, planning, records, reports
+from rollweave.queries import crossref, matching, names, planning, records, reports
 
-MODULES = (records, names, matching, planning, reports)
+MODULES = (records, names, matching, planning, reports, crossref)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -157,7 +157,7 @@ def tiered_fill(spark: SparkSession, d: str) -> DataFrame:
     r = r.withColumn("k2", F.when(F.col("k2").contains("|"), F.col("k2")))
     o = table(spark, d, "open_gravestones").select("export_id", F.lower(F.trim("dcterms_title")).alias("t1"), F.concat_ws("|", F.nullif(F.lower(F.trim("schema_familyname")), F.lit("")), F.nullif(F.trim("schema_deathdate"), F.lit(""))).alias("t2"), F.lower(F.trim("schema_familyname")).alias("t3"))
     o = o.withColumn("t2", F.when(F.col("t2").contains("|"), F.col("t2")))
-    return linkage.tiered_join(o, r, [("t1", "k1"), ("t2", "k2"), ("t3", "k3")], {"app_number": "pensioner_app_number"}, "pensioner_id").select("export_id", "app_number", "tier")
+    return linkage.tiered_join(o, r, [("t1", "k1"), ("t2", "k2"), ("t3", "k3")], {"app_number": "pensioner_app_number"}, "pensioner_id").select("export_id", "app_number", F.coalesce("tier", F.lit(-1)).alias("tier"))
 
 
 def status_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -226,6 +226,10 @@ pers AS (SELECT id, 'person_' || root AS person_id, count(*) OVER (PARTITION BY
       AND ({_letters('a.f')} = {_letters('b.f')} OR ({_letters('a.f')} <> '' AND {_letters('b.f')} <> '' AND substr({_letters('a.f')},1,1) = substr({_letters('b.f')},1,1))))"""
     meet = "len(list_filter(regexp_extract_all(coalesce(a.died,''), '\\b(\\d{4})\\b'), lambda x: len(list_filter(regexp_extract_all(coalesce(b.died,''), '\\b(\\d{4})\\b'), lambda y: abs(CAST(x AS INTEGER) - CAST(y AS INTEGER)) <= 2)) > 0)) > 0"
     return {
+        "tiered_fill": f"""WITH {_records_sql()}, r AS (SELECT pensioner_id, pensioner_app_number AS app, lower(trim(pensioner_name)) AS k1, CASE WHEN coalesce(trim(pensioner_last), '') <> '' AND coalesce(trim(pensioner_death_year), '') <> '' THEN lower(trim(pensioner_last)) || '|' || trim(pensioner_death_year) END AS k2, lower(trim(pensioner_last)) AS k3 FROM rec),
+            o AS (SELECT export_id, lower(trim(dcterms_title)) AS t1, CASE WHEN coalesce(trim(schema_familyname), '') <> '' AND coalesce(trim(schema_deathdate), '') <> '' THEN lower(trim(schema_familyname)) || '|' || trim(schema_deathdate) END AS t2, lower(trim(schema_familyname)) AS t3 FROM open_gravestones),
+            {", ".join(f"s{i} AS (SELECT k, app FROM (SELECT k{i} AS k, app, row_number() OVER (PARTITION BY k{i} ORDER BY pensioner_id DESC) AS n FROM r WHERE coalesce(k{i}, '') <> '') WHERE n = 1)" for i in (1, 2, 3))}
+            SELECT export_id, coalesce(CASE WHEN s1.k IS NOT NULL THEN s1.app WHEN s2.k IS NOT NULL THEN s2.app WHEN s3.k IS NOT NULL THEN s3.app END, '') AS app_number, CASE WHEN s1.k IS NOT NULL THEN 0 WHEN s2.k IS NOT NULL THEN 1 WHEN s3.k IS NOT NULL THEN 2 ELSE -1 END AS tier FROM o LEFT JOIN s1 ON s1.k = t1 LEFT JOIN s2 ON s2.k = t2 LEFT JOIN s3 ON s3.k = t3""",
         "candidate_scores": scored + " SELECT pensioner_id, place, vet_id, death_year, round(score, 6) AS score, f_last, f_first, f_death FROM sc",
         "decide_records": scored + """, rk AS (SELECT *, row_number() OVER (PARTITION BY pensioner_id ORDER BY round(score, 9) DESC, place) AS k FROM sc),
             t AS (SELECT pensioner_id, count(*) AS candidates, max(round(score, 9)) FILTER (WHERE k = 1) AS t, coalesce(max(round(score, 9)) FILTER (WHERE k = 2), 0) AS s, max(death_year) AS dy FROM rk GROUP BY pensioner_id),

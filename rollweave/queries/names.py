@@ -85,10 +85,19 @@ def memorial_pages(spark: SparkSession, d: str) -> DataFrame:
     return m.select("memorial_id", parse.memorial_page("r.html").alias("p")).select("memorial_id", "p.name", "p.birth_year", "p.death_year")
 
 
+STRATEGY, LOCATION = (rf'"{k}":\s*"([^"]+)"' for k in ("strategy", "locationId"))  # the first one named, in damaged payloads too
+
+
 def payload_fields(spark: SparkSession, d: str) -> DataFrame:
-    """Fields of an event payload as a map, and the search strategy in it."""
-    o = table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", T.unwrapped_json("payload").alias("payload")).distinct()
-    return o.select("observation_id", F.get_json_object("payload", "$.query.strategy").alias("strategy"), F.get_json_object("payload", "$.query.params.locationId").alias("location")).where("strategy is not null").distinct()
+    """The search strategy and location of each fetch, whole and damaged payloads alike."""
+    o = table(spark, d, "observations").where("kind = 'FaGCandidateFetch'").select("observation_id", T.unwrapped_json("payload").alias("payload"))
+    found = o.select("observation_id", F.regexp_extract("payload", STRATEGY, 1).alias("strategy"), F.regexp_extract("payload", LOCATION, 1).alias("location"))
+    return found.where("strategy <> ''").distinct()
+
+
+def unwrapped_sql(x: str) -> str:
+    """SQL of ``text.unwrapped_json``."""
+    return f"CASE WHEN ltrim({x}) LIKE '\"%' THEN coalesce(json_extract_string(try_cast({x} AS JSON), '$'), {x}) ELSE {x} END"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -114,6 +123,22 @@ def soundex_sql(x: str) -> str:
     return f"CASE WHEN {n} = '' THEN '' ELSE substr(rpad(upper(substr({n}, 1, 1)) || replace({_runs(f"translate(substr({n}, 2), '{phonetic.LETTERS}', '{phonetic.DIGITS}')")}, '0', ''), 4, '0'), 1, 4) END"
 
 
+def _more_sql() -> dict[str, str]:
+    listed = lambda entries: "(VALUES " + ", ".join(f"('{k}', {v})" for k, v in entries.items()) + ") "
+    relations = {k: v for k, v in T._relations().items() if v}
+    n = "trim(regexp_replace(regexp_replace(lower(trim(first)), '[^a-z\\s]', '', 'g'), '\\s+', ' ', 'g'))"
+    plain = " AND ".join(f"NOT contains(lower(h), '{u}')" for u in T.UNIT_WORDS)
+    worth = "(CASE WHEN regexp_matches(p, '\\d') THEN 10 ELSE 0 END + CASE WHEN len(list_filter(regexp_split_to_array(p, '\\s+'), lambda w: regexp_matches(w, '^[A-Z]'))) >= 2 THEN 5 ELSE 0 END - CASE WHEN length(p) < 5 THEN 10 ELSE 0 END)"
+    return {
+        "payload_fields": f"SELECT DISTINCT observation_id, regexp_extract(p, '{STRATEGY}', 1) AS strategy, regexp_extract(p, '{LOCATION}', 1) AS location FROM (SELECT observation_id, {unwrapped_sql('payload')} AS p FROM observations WHERE kind = 'FaGCandidateFetch') WHERE regexp_extract(p, '{STRATEGY}', 1) <> ''",
+        "nickname_variants": f"WITH r AS (SELECT DISTINCT trim(pensioner_first) AS first FROM results WHERE trim(pensioner_first) <> '') SELECT first, coalesce(array_to_string(a.v, '|'), '') AS nicknames, CASE WHEN b.v IS NULL THEN {n} ELSE {n} || '|' || array_to_string(b.v, '|') END AS forms FROM r LEFT JOIN {listed(relations)} a(k, v) ON a.k = lower(first) LEFT JOIN {listed(T.SHORT_FORMS)} b(k, v) ON b.k = {n}",
+        "unit_search_phrases": f"""WITH r AS (SELECT DISTINCT regiment FROM results WHERE trim(regiment) <> ''), s AS (SELECT regiment, list_filter(list_transform(regexp_split_to_array(regiment, '(?i)\\s+(?:&|and)\\s+'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS parts FROM r),
+            q AS (SELECT regiment, list_transform(parts, lambda x: coalesce(list_extract(list_filter(list_transform(range(len(regexp_split_to_array(x, '\\s+')), 0, -1), lambda i: array_to_string(regexp_split_to_array(x, '\\s+')[1:i], ' ')), lambda h: {plain} AND (regexp_matches(h, '\\d') OR contains(h, ' '))), 1), x)) AS found FROM s),
+            u AS (SELECT regiment, list_filter(found, lambda p, i: list_position(list_transform(found, lambda y: lower(y)), lower(p)) = i)[1:3] AS phrases FROM q), w AS (SELECT *, list_transform(phrases, lambda p: {worth}) AS worth FROM u)
+            SELECT regiment, array_to_string(phrases, '|') AS phrases, coalesce(list_extract(phrases, list_position(worth, list_max(worth))), '') AS best FROM w""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     w = "list_filter(regexp_split_to_array(trim(name), '\\s+'), lambda x: x <> '')"
     part = lambda i: f"coalesce(list_extract(w, {i}), '')"
@@ -126,7 +151,7 @@ def oracle_sql() -> dict[str, str]:
     spouse = "regexp_replace(lower(regexp_replace(trim(coalesce(pensioner_last, '')), '\\.+$', '')), '\\s+', ' ', 'g')"
     for s in ("sr", "jr", "ii", "iii", "iv"):
         spouse = f"regexp_replace({spouse}, ' {s}$', '')"
-    return {
+    return _more_sql() | {
         "name_normal_forms": f"""SELECT DISTINCT pensioner_id, {_letters('pensioner_name')} AS letters, {fold_sql('pensioner_name')} AS folded, lower(trim(coalesce(pensioner_name, ''))) AS lower_name,
             trim(regexp_replace(regexp_replace(lower(trim(coalesce(pensioner_name, ''))), '[^a-z\\s]', '', 'g'), '\\s+', ' ', 'g')) AS words,
             trim(regexp_replace(regexp_replace(lower(coalesce(regiment, '')), '[^a-z0-9\\s-]', ' ', 'g'), '\\s+', ' ', 'g')) AS unit, {spouse} AS spouse_form FROM results""",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rollweave.functions import text as T
 from rollweave.operators import analytics, learning, merge, projection, state
+from rollweave.queries.names import STRATEGY, unwrapped_sql
 from rollweave.session import table
 
 
@@ -71,7 +72,6 @@ def work_claimable(spark: SparkSession, d: str) -> DataFrame:
     return w.select("work_id", "state", "attempt", state.backoff_seconds(F.col("attempt")).alias("wait_s"), state.state_after_failure(F.col("attempt")).alias("if_failed"))
 
 
-STRATEGY = r'"strategy":\s*"([^"]+)"'  # the first strategy named, in damaged payloads too
 
 
 CANDIDATE = '"via_strategies"'  # a field that each candidate has once
@@ -206,11 +206,6 @@ def nested_registry(spark: SparkSession, d: str) -> DataFrame:
     return n.select("cemetery_id", "cemetery_name", F.size("veterans").alias("n"), F.array_join(F.transform("veterans", lambda x: x["id"].cast("string")), ",").alias("ids"))
 
 
-def unwrapped_sql(x: str) -> str:
-    """SQL of ``text.unwrapped_json``."""
-    return f"CASE WHEN ltrim({x}) LIKE '\"%' THEN coalesce(json_extract_string(try_cast({x} AS JSON), '$'), {x}) ELSE {x} END"
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
