@@ -100,6 +100,11 @@ class Gazetteer:
                 for o in (a, [*a, state], [state, *a], [*a[:-1], state, *tail], [*tail, state, *a[:-1]]):
                     patterns.setdefault(" ".join(t for t in o if t), set()).add(key)
         self.numbered = set(self.place.values())
+        self.holding: dict[str, list[int]] = {}  # word -> places in sets
+        for at, (_, words, _) in enumerate(self.sets):
+            for w in words:
+                self.holding.setdefault(w, []).append(at)
+        self._near: dict[str, list[str]] = {}
         self.automaton = ahocorasick.Automaton()
         for text, keys in patterns.items():
             if len(keys) == 1 and " " in text:  # a pattern that fits several entries names none of them
@@ -226,6 +231,20 @@ class Gazetteer:
                 found.add(key)
         return sorted(found) or self.similar(tokens)
 
+    def near_words(self, token: str) -> list[str]:
+        """The words of the list that a token is, begins, begins with, or is within two edits of."""
+        known = self._near.get(token)
+        if known is None:
+
+            def near(w: str) -> bool:
+                least = min(len(token), len(w))
+                return token == w or not token.isdigit() and not w.isdigit() and (least >= 3 and (token.startswith(w) or w.startswith(token)) or least >= 5 and within(token, w, 2) <= 2)
+
+            if len(self._near) > 100_000:
+                self._near.clear()
+            known = self._near[token] = [w for w in self.holding if near(w)]
+        return known
+
     def similar(self, tokens: list[str]) -> list[int]:
         """Token-set similarity for what the automaton didn't find: the one entry with the same number and, softly, nearly all the same words."""
         numbers = [t for t in tokens if t.isdigit()]
@@ -233,16 +252,18 @@ class Gazetteer:
         if len(mine) < 2:
             return []
 
-        def near(a: str, b: str) -> bool:
-            return a == b or not a.isdigit() and not b.isdigit() and (min(len(a), len(b)) >= 3 and (a.startswith(b) or b.startswith(a)) or min(len(a), len(b)) >= 5 and within(a, b, 2) <= 2)
-
+        shared: dict[int, set[str]] = {}  # entry -> its words that the value has, softly
+        for token in mine:
+            for w in self.near_words(token):
+                for at in self.holding[w]:
+                    shared.setdefault(at, set()).add(w)
         best = []
-        for key, words, number in self.sets:
-            if number is not None and number not in numbers or number is None and numbers:
+        for at, found in shared.items():
+            key, words, number = self.sets[at]
+            if len(found) < len(words) or (number not in numbers if number is not None else numbers):
                 continue
-            shared = sum(any(near(a, b) for b in mine) for a in words)
-            score = 2 * shared / (len(words) + len(mine))
-            if score >= 0.8 and shared == len(words):
+            score = 2 * len(words) / (len(words) + len(mine))
+            if score >= 0.8:
                 best.append((-score, key))
         best.sort()
         return [best[0][1]] if best and (len(best) == 1 or best[0][0] < best[1][0]) else []

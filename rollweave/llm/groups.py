@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rollweave.session import cut
 
 CELL_EDGES = 200_000  # edges a cell is meant to hold: bounds the memory of one task
-LAST_EDGES = 64  # edges between roots that are finished in one cell
+LAST_EDGES = 1_000  # edges between roots that are finished in one cell
 
 
 def local_representatives(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
