@@ -140,11 +140,17 @@ def person_fields(spark: SparkSession, d: str) -> DataFrame:
 
 
 def block_sizes(spark: SparkSession, d: str) -> DataFrame:
-    """Registry rows per block of the surname-prefix family, and of sound families."""
+    """Registry rows per block of the surname-prefix family."""
     index = blocking.block_index(_registry(spark, d), "id", "name")
     return index.groupBy(F.element_at(F.split("block_key", ":"), 1).alias("family"), F.col("block_key")).agg(F.count(F.lit(1)).alias("n")).where("family = 'surname_prefix'").select("block_key", "n")
 
 
+def block_families(spark: SparkSession, d: str) -> DataFrame:
+    """Registry rows per block of every family, those of sound included."""
+    index = blocking.block_index(_registry(spark, d), "id", "name")
+    return index.groupBy(F.element_at(F.split("block_key", ":"), 1).alias("family"), "block_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 def block_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Up to twenty registry rows per gravestone export by shared blocks."""
     index = blocking.block_index(_registry(spark, d), "id", "name")
@@ -170,7 +176,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             candidate_scores, decide_records, top_candidates, merged_candidates, merged_strategies, date_window, outliers, registry_verdicts, year_and_unit_agreement, duplicate_verdicts, corroborated, duplicate_edges, canonical_persons, person_fields,
-            block_sizes, block_candidates, tiered_fill, status_counts,
+            block_sizes, block_families, block_candidates, tiered_fill, status_counts,
         )
     }
 

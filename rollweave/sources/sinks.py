@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import shutil
 import time
 import uuid
 from pathlib import Path
@@ -18,15 +17,31 @@ def append_lines(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def _storage(spark: SparkSession, path: str) -> tuple:
+    """The file system that holds ``path``, shared or local, and how to name places on it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """A Parquet table replaced at once: written beside it, then renamed; readers see the old or the new one, also if it is read from itself."""
-    target, fresh = Path(path), Path(f"{path}.{uuid.uuid4().hex}")
-    df.write.parquet(str(fresh))
-    old = Path(f"{path}.{uuid.uuid4().hex}.old")
-    if target.exists():
-        target.rename(old)
-    fresh.rename(target)
-    shutil.rmtree(old, ignore_errors=True)
+    """A Parquet table replaced by a new one, also if it is read from itself.
+
+    The new one is written whole beside it first, on the same storage, and then takes its name in two renames; if the second
+    fails, the old table gets its name back. What is left of the old one is removed at the end.
+    """
+    storage, place = _storage(df.sparkSession, path)
+    mark = uuid.uuid4().hex
+    target, fresh, old = place(path), place(f"{path}.{mark}"), place(f"{path}.{mark}.old")
+    df.write.parquet(f"{path}.{mark}")
+    there = storage.exists(target)
+    if there and not storage.rename(target, old):
+        raise OSError(f"{path} can't be moved aside")
+    if not storage.rename(fresh, target):
+        if there:
+            storage.rename(old, target)
+        raise OSError(f"the new table can't take the place of {path}")
+    if there:
+        storage.delete(old, True)
 
 
 def write_json_and_csv(df: DataFrame, folder: str, name: str, key: str) -> None:
