@@ -58,10 +58,11 @@ def pivot_cells(names: DataFrame, pivots: int = PIVOTS, cover: int = COVER) -> D
     """``name, n, cell, home``: the cells of each distinct name, its own one first among those that cover it, and replicas in earlier ones.
 
     ``names``: ``name, n``, rows that carry it. At most ``pivots`` names a round reach the driver and are broadcast; rounds
-    end when no name is uncovered, and each covers all its pivots at least.
+    end when no name is uncovered, and each covers all its pivots at least. A null name is in no cell.
     """
     spark = names.sparkSession
     tasks = _tasks(names)
+    names = names.where("name is not null")
     open_ = names.repartition(tasks, "name")
     met: list[DataFrame] = []
     first = 0
