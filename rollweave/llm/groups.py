@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollweave.session import cut
+from rollweave.session import Scratch
 
 CELL_EDGES = 200_000  # edges a cell is meant to hold: bounds the memory of one task
 LAST_EDGES = 1_000  # edges between roots that are finished in one cell
@@ -52,14 +52,15 @@ def _exchange(edges: DataFrame, blocks: int) -> DataFrame:
     return edges.select("u", "v", block("u").alias("row"), block("v").alias("column")).groupBy("row", "column").applyInPandas(_cell, "vertex string, rep string")
 
 
-def _roots(parents: DataFrame) -> DataFrame:
-    """``vertex, root`` with every root followed to its end: each jump halves the way, so long chains take few."""
+def _roots(scratch: Scratch, parents: DataFrame) -> DataFrame:
+    """``vertex, root`` with every root followed to its end: each jump halves the way, so long chains take few. Drops ``parents``."""
     while True:
         up = parents.select(F.col("vertex").alias("root"), F.col("root").alias("up"))
-        jumped = cut(parents.join(up, "root").select("vertex", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")))
+        jumped = scratch.keep(parents.join(up, "root").select("vertex", F.col("up").alias("root"), (F.col("up") != F.col("root")).alias("moved")))
+        scratch.drop(parents)
         if not jumped.where("moved").limit(1).count():
-            return jumped.drop("moved")
-        parents = jumped.drop("moved")
+            return jumped
+        parents = jumped
 
 
 def connected_groups(edges: DataFrame, left: str, right: str, cell_edges: int = CELL_EDGES) -> DataFrame:
@@ -73,20 +74,22 @@ def connected_groups(edges: DataFrame, left: str, right: str, cell_edges: int =
     """
     cores = edges.sparkSession.sparkContext.defaultParallelism
     a, b = F.col(left).cast("string"), F.col(right).cast("string")
-    now = cut(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u is not null and v is not null and u <> '' and u <> v").distinct())
+    scratch = Scratch(edges.sparkSession)
+    now = scratch.keep(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u is not null and v is not null and u <> '' and u <> v").distinct())
     parents: list[DataFrame] = []
     while n := now.count():
         blocks = 1 if n <= LAST_EDGES else max(2, math.ceil(math.sqrt(max(cores, n / cell_edges))))
-        local = _exchange(now, blocks)
+        local = scratch.keep(_exchange(now, blocks))
+        scratch.drop(now)
         if blocks == 1:
             parents.append(local.select(F.col("vertex").alias("ref"), F.col("rep").alias("group_ref")))
             break
-        local = cut(local)
-        root = _roots(cut(local.groupBy("vertex").agg(F.min("rep").alias("root"))))
+        root = _roots(scratch, scratch.keep(local.groupBy("vertex").agg(F.min("rep").alias("root"))))
         parents.append(root.select(F.col("vertex").alias("ref"), F.col("root").alias("group_ref")))
         # what is left: links between the roots of a vertex and of its other representatives
         ends = local.where("rep <> vertex").join(root, "vertex").select("rep", F.col("root").alias("a")).distinct().join(root.select(F.col("vertex").alias("rep"), F.col("root").alias("b")), "rep")
-        now = cut(ends.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+        now = scratch.keep(ends.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+        scratch.drop(local)
     if not parents:
         return now.select(F.col("u").alias("ref"), F.col("v").alias("group_ref"))
     found = parents[-1]

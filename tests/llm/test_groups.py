@@ -35,6 +35,13 @@ def test_against_union_find(spark, cell):
     assert got == brute(edges)
 
 
+def test_estimates_do_not_grow_with_rounds(spark):
+    chain = spark.range(400).selectExpr("format_string('c:%04d', id) as a", "format_string('c:%04d', id + 1) as b")
+    found = connected_groups(chain.unionByName(spark.range(1_200).selectExpr("format_string('d:%04d', id) as a", "format_string('d:%04d', id + 1) as b")), "a", "b", 40)
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 400
+    assert found.groupBy("group_ref").count().count() == 2
+
+
 def test_empty(spark):
     assert connected_groups(spark.createDataFrame([], "a string, b string"), "a", "b").collect() == []
 
